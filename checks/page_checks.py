@@ -19,12 +19,19 @@ from tagmill.operators.extract import (
     rule,
 )
 
+from tagmill.session import shuffle_partitions
+
 from .base import check, table
 
 def _none():
     return F.lit(None).cast("string")
 
 
+def landed(pages):
+    """Pages as they would lie in files: spread evenly, not by how small the test data is."""
+    return pages.repartition(shuffle_partitions(pages.sparkSession), "url")
+
+
 def _t(text):
     return F.lit(text)
 
@@ -102,7 +109,7 @@ PROFILES_SQL = """
 
 @check(f"{PROFILES_SQL} WHERE c_custkey % 7 <> 0 AND c_custkey % 5 <> 0", "page_users")
 def page_users_query(spark, sf):
-    return page_users(profile_pages(spark, sf)).select(
+    return page_users(landed(profile_pages(spark, sf))).select(
         "uid", "name", "nickname", F.date_format("joindate", "yyyy-MM-dd").alias("joined")
     )
 
@@ -199,7 +206,7 @@ def index_pages(spark, sf):
     "page_indexes",
 )
 def page_indexes_query(spark, sf):
-    return page_indexes(index_pages(spark, sf)).select(
+    return page_indexes(landed(index_pages(spark, sf))).select(
         "indexid",
         "creator",
         "favourite",
@@ -259,7 +266,7 @@ def record_pages(spark, sf):
     "page_records",
 )
 def page_records_query(spark, sf):
-    return page_records(record_pages(spark, sf)).select(
+    return page_records(landed(record_pages(spark, sf))).select(
         "uid",
         "iid",
         "typ",
@@ -283,7 +290,7 @@ def page_records_query(spark, sf):
     "page_links",
 )
 def page_links_query(spark, sf):
-    return page_links(record_pages(spark, sf)).drop("pos")
+    return page_links(landed(record_pages(spark, sf))).drop("pos")
 
 
 @check(
@@ -304,7 +311,7 @@ def page_friends_query(spark, sf):
             _t('<a href="/out">o</a><ul id="memberUserList">'), F.array_join("links", ""), _t("</ul>")
         ).alias("html"),
     )
-    return page_friends(pages)
+    return page_friends(landed(pages))
 
 
 # --------------------------------------------------------------------------------------- subjects
@@ -362,7 +369,7 @@ def page_subjects_query(spark, sf):
         )
         return F.array_join(F.array_sort(pairs), ";")
 
-    return page_subjects(subject_pages(spark, sf)).select(
+    return page_subjects(landed(subject_pages(spark, sf))).select(
         "subjectid",
         "subjecttype",
         "subjectname",
@@ -377,7 +384,7 @@ def page_subjects_query(spark, sf):
     """
     SELECT l_orderkey, l_linenumber, l_partkey,
            last_value(CASE WHEN l_quantity > 25 THEN l_returnflag END IGNORE NULLS) OVER (
-             PARTITION BY l_orderkey ORDER BY l_linenumber * 1000000 + l_partkey
+             PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice
              ROWS UNBOUNDED PRECEDING) AS filled
     FROM lineitem""",
     "forward_fill",
@@ -388,6 +395,6 @@ def forward_fill_query(spark, sf):
         "l_linenumber",
         "l_partkey",
         F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).alias("label"),
-        (F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")).alias("pos"),
+        F.struct("l_linenumber", "l_partkey", "l_extendedprice").alias("pos"),
     )
     return forward_fill(lines, ["l_orderkey"], "pos", "label").drop("label", "pos")

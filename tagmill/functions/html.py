@@ -1,8 +1,8 @@
 """HTML to a flat node table per page, and node selection as column expressions.
 
-``page_nodes`` reads a page once into ``array<struct>`` in document order; a node's descendants
-are the slice that follows it, so every selector works on a slice of the array and needs neither
-Python nor a shuffle.
+``read_page`` reads a page once into an array of nodes in document order, with an index of ids and
+classes. A node lists its children, and its descendants are the slice that follows it, so a selector
+looks up its first node, touches only what lies below, and needs neither Python nor a shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..schemas import NODES
+from ..schemas import PAGE
 from .text import _col
 
 # Elements without content, elements closed by the next one of the same kind within
@@ -59,13 +59,15 @@ class _NodeTable(HTMLParser):
         node = {
             "idx": len(self.nodes),
             "last": len(self.nodes),
-            "parent": self.path[-1]["idx"] if self.path else -1,
+            "kids": [],
             "tag": tag,
             "nth": counts[tag],
             "attrs": [(k, v or "") for k, v in dict(reversed(attrs)).items()],
             "text": [],
         }
         self.nodes.append(node)
+        if self.path:
+            self.path[-1]["kids"].append(node["idx"])
         if tag not in _EMPTY:
             self.path.append(node)
             self.seen.append({})
@@ -105,17 +107,27 @@ class _NodeTable(HTMLParser):
         del self.path[depth:], self.seen[depth + 1 :]
 
 
-def _table_of(html: str | None) -> list[dict]:
+def _read(html: str | None) -> dict:
     reader = _NodeTable()
     reader.feed(html or "")
     reader.close()
     reader._close_down_to(0)
-    return reader.nodes
+    where: dict[str, dict[str, list[int]]] = {"id": {}, "class": {}}
+    for node in reader.nodes:
+        for name, value in node["attrs"]:
+            if name in where:
+                where[name].setdefault(value, []).append(node["idx"])
+    return {"nodes": reader.nodes, "ids": where["id"], "classes": where["class"]}
 
 
-@F.arrow_udf(NODES)
-def page_nodes(pages: pa.Array) -> pa.Array:
-    return pa.array([_table_of(h) for h in pages.to_pylist()], to_arrow_type(NODES))
+@F.arrow_udf(PAGE)
+def _read_pages(pages: pa.Array) -> pa.Array:
+    return pa.array([_read(h) for h in pages.to_pylist()], to_arrow_type(PAGE))
+
+
+# Not to be repeated: a filter on what was read must not be pushed below the reading, or every page
+# would be read once for the filter and once more for the result.
+read_page = _read_pages.asNondeterministic()
 
 
 @dataclass(frozen=True)
@@ -146,34 +158,45 @@ def deep(tag: str | None = None, nth: int | None = None, **attrs) -> Step:
     return Step(tag, nth, True, {k.rstrip("_"): v for k, v in attrs.items()})
 
 
-def below(nodes: Column, node: Column) -> Column:
+def below(page: Column, node: Column) -> Column:
     """All descendants of ``node``."""
-    return F.slice(nodes, node["idx"] + 2, node["last"] - node["idx"])
+    return F.slice(page["nodes"], node["idx"] + 2, node["last"] - node["idx"])
+
+
+def _nodes_at(page: Column, places: Column) -> Column:
+    return F.transform(places, lambda at: F.get(page["nodes"], at))
+
+
+def _anywhere(page: Column, step: Step) -> Column:
+    """Nodes of the whole page that a step accepts, by index where the step names an id or class."""
+    for name, index in (("id", "ids"), ("class", "classes")):
+        if name in step.attrs:
+            places = F.try_element_at(page[index], F.lit(step.attrs[name]))
+            none = F.array().cast("array<int>")
+            return F.filter(_nodes_at(page, F.coalesce(places, none)), step.accepts)
+    return F.filter(page["nodes"], step.accepts)
 
 
-def pick(nodes, *steps: Step, start: Column | None = None) -> Column:
+def pick(page, *steps: Step, start: Column | None = None) -> Column:
     """Nodes reached by ``steps`` from the document, or from the node ``start``."""
-    nodes = _col(nodes)
+    page = _col(page)
 
     def from_node(origin: Column, step: Step) -> Column:
         if step.deep:
-            return F.filter(below(nodes, origin), step.accepts)
-        return F.filter(
-            below(nodes, origin), lambda n: (n["parent"] == origin["idx"]) & step.accepts(n)
-        )
+            return F.filter(below(page, origin), step.accepts)
+        return F.filter(_nodes_at(page, origin["kids"]), step.accepts)
 
     def from_each(found: Column, step: Step) -> Column:
         return F.flatten(F.transform(found, lambda n: from_node(n, step)))
 
-    steps = list(steps)
-    first = steps.pop(0)
+    first, *rest = steps
     if start is not None:
         found = from_node(start, first)
     elif first.deep:
-        found = F.filter(nodes, first.accepts)
+        found = _anywhere(page, first)
     else:
-        found = F.filter(nodes, lambda n: (n["parent"] == -1) & first.accepts(n))
-    for step in steps:
+        found = F.filter(F.slice(page["nodes"], 1, 1), first.accepts)
+    for step in rest:
         found = from_each(found, step)
     return found
 

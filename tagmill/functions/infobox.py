@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..schemas import INFO_TYPE, TEXT, struct
 from .dates import iso_date, parse_document_date
-from .text import _col, blank_to_null
+from .text import _col, bind, blank_to_null, last_per_key
 
 # The template header that names the type, and the keys kept in documents.
 HEADER = r"(?U)Infobox(\s([/\w]+))?\s?\r?\n"
@@ -141,11 +141,15 @@ def _read_box(text: str | None) -> dict:
 
 
 @F.arrow_udf(PARSED_TYPE)
-def read_infobox(texts: pa.Array) -> pa.Array:
-    """Template text to ``struct<info_type, info, error>``, batch by batch."""
+def _read_boxes(texts: pa.Array) -> pa.Array:
     return pa.array([_read_box(t) for t in texts.to_pylist()], to_arrow_type(PARSED_TYPE))
 
 
+# Template text to ``struct<info_type, info, error>``. Marked so that later filters and expressions use
+# the column instead of repeating the parse: give it a column of its own with ``withColumn``.
+read_infobox = _read_boxes.asNondeterministic()
+
+
 def parse_infobox(df: DataFrame, col: str = "infobox") -> DataFrame:
     """Add ``info_type``, ``info`` (ordered entries) and ``error`` parsed from a text column.
 
@@ -224,11 +228,13 @@ def info_from_json(col) -> Column:
 
 def infobox_first(info, key: str) -> Column:
     """Values of the first entry with ``key``: its list, its text as one element, else null."""
-    entry = F.get(F.filter(_col(info), lambda e: e["key"] == key), F.lit(0))
-    return F.when(
-        entry["items"].isNotNull(),
-        F.when(F.size(entry["items"]) > 0, F.transform(entry["items"], lambda i: i["v"])),
-    ).otherwise(F.when(entry["value"].isNotNull(), F.array(entry["value"])))
+    def values(entry):
+        return F.when(
+            entry["items"].isNotNull(),
+            F.when(F.size(entry["items"]) > 0, F.transform(entry["items"], lambda i: i["v"])),
+        ).otherwise(F.when(entry["value"].isNotNull(), F.array(entry["value"])))
+
+    return bind(F.get(F.filter(_col(info), lambda e: e["key"] == key), F.lit(0)), values)
 
 
 def normalize_infobox(
@@ -257,15 +263,7 @@ def normalize_infobox(
         lambda e: e["key"].isin(list(mapping)) & e["value"].isNotNull() & (e["value"] != ""),
     )
     kept = F.filter(F.transform(known, renamed), lambda e: e["value"].isNotNull())
-    last_of_each = F.filter(
-        kept,
-        lambda e, at: ~F.exists(
-            F.slice(kept, at + 2, F.size(kept)), lambda later: later["key"] == e["key"]
-        ),
-    )
-    return F.coalesce(
-        F.map_from_entries(last_of_each), F.create_map().cast("map<string,string>")
-    )
+    return F.coalesce(last_per_key(kept), F.create_map().cast("map<string,string>"))
 
 
 def infobox_aliases(info) -> Column:

@@ -19,6 +19,25 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
+def last_per_key(entries: Column) -> Column:
+    """Map of ``array<struct<key, value>>``, the last entry of a key winning."""
+
+    def kept(all_entries):
+        return F.filter(
+            all_entries,
+            lambda e, at: ~F.exists(
+                F.slice(all_entries, at + 2, F.size(all_entries)), lambda later: later["key"] == e["key"]
+            ),
+        )
+
+    return F.map_from_entries(bind(entries, kept))
+
+
 def strip_nul(col) -> Column:
     """Remove NUL characters."""
     return F.regexp_replace(_col(col), r"\x00", "")

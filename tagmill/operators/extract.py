@@ -23,12 +23,14 @@ from ..functions.html import (
     deep,
     first_of,
     first_text,
-    page_nodes,
     pick,
+    read_page,
     texts,
 )
 from ..functions.text import (
+    bind,
     blank_to_null,
+    last_per_key,
     number_in,
     second_token_lower,
     slice_tokens,
@@ -58,8 +60,8 @@ class Rule:
     take: str = "text"
     default: object = None
 
-    def value(self, nodes, start: Column | None = None) -> Column:
-        found = pick(nodes, *self.steps, start=start)
+    def value(self, page, start: Column | None = None) -> Column:
+        found = pick(page, *self.steps, start=start)
         if self.take.startswith("@@"):
             taken = attrs(found, self.take[2:])
         elif self.take.startswith("@"):
@@ -81,9 +83,9 @@ def rule(*steps: Step, take: str = "text", default=None) -> Rule:
 
 def extract_pages(pages: DataFrame, rules: Mapping[str, Rule]) -> DataFrame:
     """Add one column per rule to a table of pages; malformed pages give nulls and empty lists."""
-    parsed = pages.withColumn("_nodes", page_nodes(F.col("html")))
+    parsed = pages.withColumn("_page", read_page(F.col("html")))
     return parsed.select(
-        *pages.columns, *[r.value("_nodes").alias(name) for name, r in rules.items()]
+        *pages.columns, *[r.value("_page").alias(name) for name, r in rules.items()]
     )
 
 
@@ -216,16 +218,16 @@ def page_records(pages: DataFrame) -> DataFrame:
 
     ``pages`` may carry ``uid``; without it the user part of the address is taken.
     """
-    parsed = pages.withColumn("_nodes", page_nodes(F.col("html")))
+    parsed = pages.withColumn("_page", read_page(F.col("html")))
 
     def entry(item: Column) -> Column:
-        given = {name: r.value("_nodes", item) for name, r in RECORD_RULES.items()}
+        given = {name: r.value("_page", item) for name, r in RECORD_RULES.items()}
         return F.struct(
             number_in(attr(item, "id"), r"^item_(\d+)").alias("iid"),
             *[value.alias(name) for name, value in given.items()],
         )
 
-    entries = F.transform(pick("_nodes", *RECORD_ITEMS), entry)
+    entries = F.transform(pick("_page", *RECORD_ITEMS), entry)
     owner = F.col("uid") if "uid" in pages.columns else url_segment("url", 2)
     rows = parsed.select(
         owner.alias("uid"),
@@ -282,34 +284,23 @@ def page_friends(pages: DataFrame) -> DataFrame:
     ).select("user", url_segment("_href").alias("friend"))
 
 
-def _last_per_key(pairs: Column) -> Column:
-    """Map of ``struct<key, value>`` entries, the last entry of a key winning."""
-    last = F.filter(
-        pairs,
-        lambda p, at: ~F.exists(
-            F.slice(pairs, at + 2, F.size(pairs)), lambda later: later["key"] == p["key"]
-        ),
-    )
-    return F.map_from_entries(last)
-
-
-def _staff(facts: Column, nodes) -> Column:
+def _staff(facts: Column, page) -> Column:
     """Linked ids per label; the label is the first text of the fact's ``span`` less two signs."""
 
     def fact(li):
-        label = rule(child("span")).value(nodes, li)
-        links = rule(child("a"), take="@@href").value(nodes, li)
+        label = rule(child("span")).value(page, li)
+        links = rule(child("a"), take="@@href").value(page, li)
         key = F.substring(label, F.lit(1), F.greatest(F.length(label) - 2, F.lit(0)))
-        return F.struct(key.alias("key"), F.transform(links, url_segment).alias("value"))
+        return F.struct(key.alias("key"), F.transform(links, lambda h: url_segment(h)).alias("value"))
 
     return F.filter(
         F.transform(facts, fact), lambda p: p["key"].isNotNull() & (F.size(p["value"]) > 0)
     )
 
 
-def _aliases(facts: Column, nodes) -> Column:
+def _aliases(facts: Column, page) -> Column:
     def fact(li):
-        label = rule(child("span")).value(nodes, li)
+        label = rule(child("span")).value(page, li)
         key = F.substring(label, F.lit(1), F.greatest(F.length(label) - 2, F.lit(0)))
         return F.when(key == ALIAS_LABEL, F.get(li["text"], F.lit(0)))
 
@@ -319,19 +310,28 @@ def _aliases(facts: Column, nodes) -> Column:
 def fill_labels(items: Column) -> Column:
     """``array<struct<label, id>>`` to ``array<struct<key, value>>``: an item without a label belongs
     to the nearest label before it, and every label opens a new list."""
-    opening = F.filter(F.sequence(F.lit(1), F.size(items)), lambda at: (
-        F.get(items, at - 1)["label"].isNotNull() & (F.size(items) > 0)
-    ))
-    bounds = F.concat(opening, F.array(F.size(items) + 1))
 
-    def section(start, at):
-        until = F.get(bounds, at + 1)
-        return F.struct(
-            F.get(items, start - 1)["label"].alias("key"),
-            F.transform(F.slice(items, start, until - start), lambda i: i["id"]).alias("value"),
+    def sections(all_items, bounds):
+        def section(start, at):
+            until = F.get(bounds, at + 1)
+            return F.struct(
+                F.get(all_items, start)["label"].alias("key"),
+                F.transform(
+                    F.slice(all_items, start + 1, until - start), lambda i: i["id"]
+                ).alias("value"),
+            )
+
+        return F.transform(F.slice(bounds, 1, F.size(bounds) - 1), section)
+
+    def cut(all_items):
+        opening = F.filter(
+            F.transform(all_items, lambda i, at: F.when(i["label"].isNotNull(), at)),
+            lambda at: at.isNotNull(),
         )
+        end = F.array(F.size(all_items))
+        return bind(F.concat(opening, end), lambda bounds: sections(all_items, bounds))
 
-    return F.when(F.size(items) > 0, F.transform(opening, section))
+    return bind(items, cut)
 
 
 def forward_fill(
@@ -346,16 +346,16 @@ def forward_fill(
 
 def page_subjects(pages: DataFrame) -> DataFrame:
     """``subjectid, subjecttype, subjectname, order, alias, staff, relations``."""
-    parsed = pages.withColumn("_nodes", page_nodes(F.col("html")))
+    parsed = pages.withColumn("_page", read_page(F.col("html")))
     found = parsed.select(
         *pages.columns,
-        "_nodes",
-        *[r.value("_nodes").alias(name) for name, r in SUBJECT_RULES.items()],
+        "_page",
+        *[r.value("_page").alias(name) for name, r in SUBJECT_RULES.items()],
     ).where("has_subject")
 
     def relation(li):
-        href = rule(child("a", class_="title"), take="@href").value("_nodes", li)
-        label = F.when(attr(li, "class").isNotNull(), rule(child("span")).value("_nodes", li))
+        href = rule(child("a", class_="title"), take="@href").value("_page", li)
+        label = F.when(attr(li, "class").isNotNull(), rule(child("span")).value("_page", li))
         return F.struct(label.alias("label"), url_segment(href).alias("id"))
 
     pair_type = "array<struct<key: string, value: array<string>>>"
@@ -366,7 +366,7 @@ def page_subjects(pages: DataFrame) -> DataFrame:
         F.array(
             F.struct(
                 F.lit(VOLUME_LABEL).alias("key"),
-                F.transform("volumes", url_segment).alias("value"),
+                F.transform("volumes", lambda h: url_segment(h)).alias("value"),
             )
         ),
     ).cast(pair_type)
@@ -375,8 +375,8 @@ def page_subjects(pages: DataFrame) -> DataFrame:
         second_token_lower("scored").alias("subjecttype"),
         F.coalesce(blank_to_null("title"), F.col("shown")).alias("subjectname"),
         F.coalesce(_asked_id(), url_id("url")).alias("order"),
-        _aliases(F.col("facts"), "_nodes").alias("alias"),
-        _staff(F.col("facts"), "_nodes").alias("_staff"),
+        _aliases(F.col("facts"), "_page").alias("alias"),
+        _staff(F.col("facts"), "_page").alias("_staff"),
         F.concat(F.coalesce(related, none), F.coalesce(volumes, none)).alias("_relations"),
     )
     return collected.select(
@@ -385,6 +385,6 @@ def page_subjects(pages: DataFrame) -> DataFrame:
         "subjectname",
         "order",
         "alias",
-        _last_per_key(F.col("_staff")).alias("staff"),
-        _last_per_key(F.col("_relations")).alias("relations"),
+        last_per_key(F.col("_staff")).alias("staff"),
+        last_per_key(F.col("_relations")).alias("relations"),
     )

@@ -82,16 +82,16 @@ def settle_counts(df: DataFrame) -> DataFrame:
 def enrich_subjects(stats: DataFrame, archive: DataFrame, order: str = "order") -> DataFrame:
     """Archive rows with statistics, resolved type and subtype, and the infobox as JSON text."""
     chosen = first_non_null(flatten_stats(stats), ["id"], STATISTICS, order)
-    joined = archive.join(chosen, "id", "left")
-    typed = joined.withColumns(
+    parsed = archive.withColumn("_box", read_infobox(F.col("infobox")))
+    typed = parsed.join(chosen, "id", "left").withColumns(
         {
             "type": resolve_type("type"),
             "subtype": infobox_subtype("infobox"),
-            "infobox": info_json(read_infobox(F.col("infobox"))["info"]),
+            "infobox": info_json("_box.info"),
             "summary": strip_nul("summary"),
         }
     )
-    return settle_counts(typed)
+    return settle_counts(typed).drop("_box")
 
 
 def subject_aliases(
@@ -103,7 +103,8 @@ def subject_aliases(
     """
     names = F.array("name", "name_cn")
     if include_infobox:
-        names = F.concat(names, infobox_aliases(read_infobox(F.col("infobox"))["info"]))
+        archive = archive.withColumn("_box", read_infobox(F.col("infobox")))
+        names = F.concat(names, infobox_aliases("_box.info"))
     given = F.filter(names, lambda n: n != "")
     return (
         archive.select("id", F.explode(given).alias("alias"))

@@ -110,16 +110,19 @@ API_SUBJECT = struct(
     rating=struct(rank=LONG, total=LONG, score=DOUBLE),
 )
 
-# One element of a page: its place in document order, the last element below it, its parent, its
+# One element of a page: its place in document order, the last element below it, its children, its
 # position among siblings of the same tag, and the texts directly inside.
-NODES = listed(
-    struct(
-        idx=INT,
-        last=INT,
-        parent=INT,
-        tag=TEXT,
-        nth=INT,
-        attrs=T.MapType(TEXT, TEXT),
-        text=listed(TEXT),
-    )
+_NODE = struct(
+    idx=INT,
+    last=INT,
+    kids=listed(INT),
+    tag=TEXT,
+    nth=INT,
+    attrs=T.MapType(TEXT, TEXT),
+    text=listed(TEXT),
+)
+
+# A page read once: its elements in document order, and where an id or a class value occurs.
+PAGE = struct(
+    nodes=listed(_NODE), ids=T.MapType(TEXT, listed(INT)), classes=T.MapType(TEXT, listed(INT))
 )
