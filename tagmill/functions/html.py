@@ -7,8 +7,9 @@ looks up its first node, touches only what lies below, and needs neither Python
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -38,86 +39,83 @@ _ENDS_PARAGRAPH = frozenset(
 )
 
 
-class _NodeTable(HTMLParser):
-    """Collects nodes in document order; unclosed and stray tags are tolerated."""
+_RAW_TEXT = {tag: re.compile(rf"</{tag}\b", re.I) for tag in ("script", "style")}
+# A comment, a declaration, or a tag with its attributes. Repeats are possessive: an unclosed quote or
+# tag ends the token there instead of trying every shorter one.
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?"
+    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>?""",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"']++)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+)))?""")
+
+
+class _Page:
+    """Collects the nodes of a page in document order; unclosed and stray tags are tolerated."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
-        self.path: list[dict] = []
-        self.seen: list[dict] = [{}]
-        self.in_text = False
+        self.open: list[dict] = []
+        self.counts: list[dict] = [{}]
+        self.places: dict[str, dict[str, list[int]]] = {"id": {}, "class": {}}
 
-    def handle_starttag(self, tag, attrs):
-        self.in_text = False
+    def begin(self, tag: str, attributes: str) -> None:
         if tag in _ENDS_PARAGRAPH:
-            self._close_open("p", _PARAGRAPH_LIMITS)
+            self.end("p", _PARAGRAPH_LIMITS)
         if tag in _CLOSED_BY_SIBLING:
-            self._close_open(tag, _CLOSED_BY_SIBLING[tag])
-        counts = self.seen[-1]
-        counts[tag] = counts.get(tag, 0) + 1
-        node = {
-            "idx": len(self.nodes),
-            "last": len(self.nodes),
-            "kids": [],
-            "tag": tag,
-            "nth": counts[tag],
-            "attrs": [(k, v or "") for k, v in dict(reversed(attrs)).items()],
-            "text": [],
-        }
+            self.end(tag, _CLOSED_BY_SIBLING[tag])
+        at, attrs = len(self.nodes), {}
+        for name, double, single, bare in _ATTRIBUTE.findall(attributes):
+            attrs.setdefault(name.lower(), unescape(double or single or bare))
+        nth = self.counts[-1][tag] = self.counts[-1].get(tag, 0) + 1
+        node = dict(
+            idx=at, last=at, kids=[], tag=tag, nth=nth, attrs=list(attrs.items()), text=[]
+        )
         self.nodes.append(node)
-        if self.path:
-            self.path[-1]["kids"].append(node["idx"])
+        for name, index in self.places.items():
+            if name in attrs:
+                index.setdefault(attrs[name], []).append(at)
+        if self.open:
+            self.open[-1]["kids"].append(at)
         if tag not in _EMPTY:
-            self.path.append(node)
-            self.seen.append({})
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _EMPTY:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        self.in_text = False
-        self._close_open(tag, ())
-
-    def handle_comment(self, data):
-        self.in_text = False
-
-    def handle_data(self, data):
-        if not self.path:
-            return
-        texts = self.path[-1]["text"]
-        if self.in_text:
-            texts[-1] += data
-        else:
-            texts.append(data)
-        self.in_text = True
-
-    def _close_open(self, tag, limits):
-        for depth in range(len(self.path) - 1, -1, -1):
-            if self.path[depth]["tag"] == tag:
-                return self._close_down_to(depth)
-            if self.path[depth]["tag"] in limits:
+            self.open.append(node)
+            self.counts.append({})
+
+    def end(self, tag: str, limits=()) -> None:
+        """Close the nearest open ``tag`` and all inside it, looking no further than ``limits``."""
+        for depth in range(len(self.open) - 1, -1, -1):
+            if self.open[depth]["tag"] == tag:
+                return self.close(depth)
+            if self.open[depth]["tag"] in limits:
                 return None
 
-    def _close_down_to(self, depth):
-        for node in self.path[depth:]:
+    def close(self, depth: int = 0) -> None:
+        for node in self.open[depth:]:
             node["last"] = len(self.nodes) - 1
-        del self.path[depth:], self.seen[depth + 1 :]
+        del self.open[depth:], self.counts[depth + 1 :]
+
+    def say(self, text: str) -> None:
+        if text and self.open:
+            self.open[-1]["text"].append(text)
 
 
 def _read(html: str | None) -> dict:
-    reader = _NodeTable()
-    reader.feed(html or "")
-    reader.close()
-    reader._close_down_to(0)
-    where: dict[str, dict[str, list[int]]] = {"id": {}, "class": {}}
-    for node in reader.nodes:
-        for name, value in node["attrs"]:
-            if name in where:
-                where[name].setdefault(value, []).append(node["idx"])
-    return {"nodes": reader.nodes, "ids": where["id"], "classes": where["class"]}
+    page, html, at = _Page(), html or "", 0
+    while found := _MARKUP.search(html, at):
+        page.say(unescape(html[at : found.start()]))
+        at, tag = found.end(), (found["tag"] or "").lower()
+        if found["end"]:
+            page.end(tag)
+        elif tag:
+            page.begin(tag, found["attrs"])
+            if tag in _RAW_TEXT:
+                stop = _RAW_TEXT[tag].search(html, at)
+                until = stop.start() if stop else len(html)
+                page.say(html[at:until])
+                at = until
+    page.say(unescape(html[at:]))
+    page.close()
+    return {"nodes": page.nodes, "ids": page.places["id"], "classes": page.places["class"]}
 
 
 @F.arrow_udf(PAGE)
