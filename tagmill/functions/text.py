@@ -40,7 +40,7 @@ def last_per_key(entries: Column) -> Column:
 
 def strip_nul(col) -> Column:
     """Remove NUL characters."""
-    return F.regexp_replace(_col(col), r"\x00", "")
+    return F.replace(_col(col), F.lit("\x00"), F.lit(""))
 
 
 def strip_controls(col) -> Column:

@@ -23,20 +23,24 @@ from .subjects import known_only
 TOLERANCE = 1e-6
 
 
-def tag_rows(
-    records: DataFrame, archive: DataFrame | None = None, mapping: Mapping[str, str] | None = None
-) -> DataFrame:
-    """One row per user, subject and raw tag: ``user_id, subject_id, tags, tags_normalized``."""
+def raw_tags(records: DataFrame, archive: DataFrame | None = None) -> DataFrame:
+    """One row per user, subject and tag as given, without NUL: ``user_id, subject_id, tags``."""
     if archive is not None:
         records = known_only(records, archive, "subject_id", "id")
     return (
         records.select("user_id", "subject_id", F.explode("tags").alias("tags"))
         .where(F.col("tags").isNotNull())
         .withColumn("tags", strip_nul("tags"))
-        .withColumn("tags_normalized", normalize_tag("tags", mapping))
     )
 
 
+def tag_rows(
+    records: DataFrame, archive: DataFrame | None = None, mapping: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``raw_tags`` with ``tags_normalized``."""
+    return raw_tags(records, archive).withColumn("tags_normalized", normalize_tag("tags", mapping))
+
+
 def tag_edges(
     rows: DataFrame, user: str = "user_id", subject: str = "subject_id", tag: str = "tags_normalized"
 ) -> DataFrame:
@@ -189,10 +193,11 @@ def tag_table(
     """
     folder = scratch_folder(records.sparkSession, "tags")
     counted = (
-        tag_rows(records, archive, mapping)
+        raw_tags(records, archive)
         .where(F.col("subject_id").isNotNull())
-        .groupBy("user_id", "subject_id", "tags", "tags_normalized")
+        .groupBy("user_id", "subject_id", "tags")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("tags_normalized", normalize_tag("tags", mapping))
     )
     counted = written(counted, f"{folder}/counted")
     edges = (
