@@ -9,6 +9,7 @@ from tagmill.operators.extract import (
     extract_pages,
     forward_fill,
     home_links,
+    html_pages,
     page_friends,
     page_home_users,
     page_indexes,
@@ -19,6 +20,7 @@ from tagmill.operators.extract import (
     rule,
 )
 
+from tagmill.functions.urls import url_segment
 from tagmill.session import shuffle_partitions
 
 from .base import check, table
@@ -53,6 +55,25 @@ def page_titles(spark, sf):
     return extract_pages(table(spark, sf, "pages"), rules).select("page_id", "title", "links")
 
 
+@check(
+    """
+    SELECT page_id, string_split(string_split(url, '/')[-1], '?')[1] AS state,
+           string_split(url, '/')[-2] AS before, NULL::VARCHAR AS origin,
+           regexp_extract(html, '<h1>([^<]*)', 1) <> '' AS titled
+    FROM pages"""
+)
+def landed_pages(spark, sf):
+    rules = {"heading": rule(deep("h1"), default="")}
+    found = extract_pages(html_pages(table(spark, sf, "pages")), rules)
+    return found.select(
+        "page_id",
+        url_segment("url", strip_query=True).alias("state"),
+        url_segment("url", 2).alias("before"),
+        F.col("redirect_from").alias("origin"),
+        (F.col("heading") != "").alias("titled"),
+    )
+
+
 @check(
     """
     SELECT page_id, unnest(range(len(links)))::BIGINT AS pos, unnest(links) AS link

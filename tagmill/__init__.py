@@ -14,6 +14,7 @@ from .operators.api import api_collections, api_documents, api_subjects, api_use
 from .operators.documents import build_documents, build_suggestions
 from .operators.extract import (
     extract_pages,
+    html_pages,
     page_friends,
     page_home_users,
     page_indexes,

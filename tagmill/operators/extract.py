@@ -81,6 +81,13 @@ def rule(*steps: Step, take: str = "text", default=None) -> Rule:
     return Rule(steps, take, default)
 
 
+def html_pages(df: DataFrame) -> DataFrame:
+    """A table of landed pages; ``redirect_from`` is null where the landing did not record it."""
+    if "redirect_from" in df.columns:
+        return df
+    return df.withColumn("redirect_from", F.lit(None).cast("string"))
+
+
 def extract_pages(pages: DataFrame, rules: Mapping[str, Rule]) -> DataFrame:
     """Add one column per rule to a table of pages; malformed pages give nulls and empty lists."""
     parsed = pages.withColumn("_page", read_page(F.col("html")))

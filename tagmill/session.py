@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +17,21 @@ def scratch_folder(spark: SparkSession, label: str = "job") -> str:
     and a lost executor costs one round at most. Only a local master without the setting
     falls back to a temporary folder; on a cluster the setting is required.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="tagmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
     return f"{base.rstrip('/')}/tagmill-{label}-{uuid.uuid4().hex}"
 
 
+@cache
+def _temporary_folder() -> str:
+    return tempfile.mkdtemp(prefix="tagmill-")
+
+
+def _local_folder(spark: SparkSession) -> str:
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _temporary_folder()
+
+
 def written(df: DataFrame, path: str, observation: Observation | None = None, *metrics) -> DataFrame:
     """Write ``df`` to ``path`` as Parquet and read it back: a table with no lineage.
 

@@ -171,3 +171,23 @@ def test_whole_chain(spark, tmp_path):
     assert len(pairs) == 10
     ranks = text_of(tmp_path / "out/customrank" / stamp).splitlines()
     assert ranks[0] == "name,rank_custom,rank_site,subjectname" and len(ranks) == 6
+
+
+def test_scratch_without_the_setting(spark, monkeypatch):
+    import tagmill.session as session
+
+    class Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, name, default=None):
+            return self.values.get(name, default)
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    one, two = (session.scratch_folder(Session("local[2]")) for _ in range(2))
+    assert os.path.dirname(one) == os.path.dirname(two) and one != two
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_folder(Session("yarn"))
