@@ -69,7 +69,7 @@ def run_pipeline(
         rows[name] = seen.get["rows"]
         return read_jsonlines(spark, path, df.schema)
 
-    records = read_jsonlines(spark, paths.records, schemas.COLLECTIONS)
+    records = _columnar_records(spark, paths.records, dated_path(f"{out}/collections", as_of))
     stats = read_jsonlines(spark, paths.stats, schemas.SUBJECT_API)
     archive = read_jsonlines(spark, paths.archive, schemas.SUBJECT_ARCHIVE)
 
@@ -108,6 +108,14 @@ def run_pipeline(
     return rows
 
 
+def _columnar_records(spark: SparkSession, path: str, stored: str) -> DataFrame:
+    """The record columns the jobs use, parsed from JSON once; each job then reads only its own."""
+    used = ["user_id", "user_order", "subject_id", "rate", "tags"]
+    rows = read_jsonlines(spark, path, schemas.COLLECTIONS).select(*used)
+    rows.write.mode("overwrite").parquet(stored)
+    return spark.read.schema(rows.schema).parquet(stored)
+
+
 def _keyed_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(F.col("value").alias("line"))
-    return lines.withColumn("id", line_key("line", ["subject_id", "user_order"]))
+    return lines.withColumn("id", line_key(F.col("line"), ["subject_id", "user_order"]))

@@ -31,13 +31,13 @@ def read_lines_with_key(
 ) -> DataFrame:
     """Raw lines beside a key built from JSON fields: ``line, key``. Lines pass through unchanged."""
     lines = spark.read.text(path).withColumnRenamed("value", "line")
-    return lines.select("line", line_key("line", fields, separator).alias("key"))
+    return lines.select("line", line_key(F.col("line"), fields, separator).alias("key"))
 
 
 def line_key(line, fields: Sequence[str], separator: str = "_") -> Column:
-    """Key of a raw JSON line: the given fields joined."""
-    parts = [F.get_json_object(line, f"$.{name}") for name in fields]
-    return F.concat_ws(separator, *parts)
+    """Key of a raw JSON line: the given fields joined. The line is parsed once, for these only."""
+    parsed = F.from_json(line, T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+    return F.concat_ws(separator, *[parsed[name] for name in fields])
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
