@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_tag, strip_nul
-from ..session import scratch_folder, shuffle_partitions, written
+from ..session import partitions_for, rows_written, scratch_folder, written
 from .skew import fan_out, heavy_keys, spread
 from .subjects import known_only
 
@@ -53,9 +53,9 @@ def tag_edges(
 
 
 @contextmanager
-def _two_layouts(edges: DataFrame, user: str, hub: list[str]):
+def _two_layouts(edges: DataFrame, rows: int, user: str, hub: list[str]):
     """Edges persisted by user and by hub, each with its table of heavy keys."""
-    parts = shuffle_partitions(edges.sparkSession)
+    parts = partitions_for(edges.sparkSession, rows)
     layouts = {}
     for name, keys, by in (("user", [user], hub), ("hub", hub, [user])):
         heavy = heavy_keys(edges, keys, parts)
@@ -98,8 +98,8 @@ def user_authority(
     """User scores (sum 1) after the rounds settle: ``user, score``."""
     spark = edges.sparkSession
     folder = scratch_folder(spark, "authority")
-    edges = written(edges.select(user, subject, tag, "n"), f"{folder}/edges")
-    with _two_layouts(edges, user, [subject, tag]) as layouts:
+    edges, rows = rows_written(edges.select(user, subject, tag, "n"), f"{folder}/edges")
+    with _two_layouts(edges, rows, user, [subject, tag]) as layouts:
         return _settle(layouts, user, [subject, tag], tol, max_iter, folder)
 
 
@@ -164,8 +164,8 @@ def tag_confidence(
     """``subject, tag, confidence, tagnorm_cnt``: summed scores and number of the hub's tag rows."""
     folder = scratch_folder(edges.sparkSession, "confidence")
     hub = [subject, tag]
-    edges = written(edges.select(user, subject, tag, "n"), f"{folder}/edges")
-    with _two_layouts(edges, user, hub) as layouts:
+    edges, rows = rows_written(edges.select(user, subject, tag, "n"), f"{folder}/edges")
+    with _two_layouts(edges, rows, user, hub) as layouts:
         scores = _settle(layouts, user, hub, tol, max_iter, folder)
         placed, heavy = layouts["user"]
         hubs = (

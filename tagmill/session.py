@@ -49,5 +49,23 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+ROWS_PER_PARTITION = 200_000
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for a table that is kept over many rounds: enough for its rows and for every core,
+    at most ``spark.sql.shuffle.partitions``."""
+    most = shuffle_partitions(spark)
+    least = min(most, spark.sparkContext.defaultParallelism)
+    return max(least, min(most, -(-rows // ROWS_PER_PARTITION)))
+
+
+def rows_written(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """``written``, with the number of rows."""
+    seen = Observation()
+    stored = written(df, path, seen, F.count(F.lit(1)).alias("rows"))
+    return stored, seen.get["rows"]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
