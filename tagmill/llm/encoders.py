@@ -98,8 +98,11 @@ class WordTable(dict):
     def spelt(self, word: str) -> str:
         return word.encode().decode("latin-1").translate(self.letters)
 
+    def packed(self, word: str) -> bytes:
+        return array("H", [t.id for t in self.model.tokenize(self.spelt(word))]).tobytes()
+
     def __missing__(self, word: str) -> bytes:
-        packed = array("H", [t.id for t in self.model.tokenize(self.spelt(word))]).tobytes()
+        packed = self.packed(word)
         if len(word) <= _LONG_WORD:
             self[word] = packed
         return packed

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from .bpe_table import decode_ids, encode_by_table, vocabulary
 from .packing import pack_documents
+from .records import token_records
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -27,3 +29,21 @@ def table(spark, sf, name):
 def op9_best_fit_packing(spark, sf):
     packed = pack_documents(table(spark, sf, "documents"), BYTE_VOCABULARY, limit=1024)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op1_bpe_table(spark, sf):
+    encoded = encode_by_table(table(spark, sf, "documents"), WORD_VOCABULARY)
+    both = decode_ids(encoded, vocabulary(spark, WORD_VOCABULARY))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op5_token_records(spark, sf):
+    records = token_records(table(spark, sf, "documents"), WORD_VOCABULARY, end_id=1)
+    return records.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
