@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .bpe_table import decode_ids, encode_by_table, vocabulary
 from .packing import pack_documents
 from .records import token_records
+from .simhash import simhash_components
+from .topk import top_k
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -47,3 +49,30 @@ def op1_bpe_table(spark, sf):
 def op5_token_records(spark, sf):
     records = token_records(table(spark, sf, "documents"), WORD_VOCABULARY, end_id=1)
     return records.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op6_simhash(spark, sf):
+    groups = simhash_components(table(spark, sf, "documents"))
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
+SQL["op8_exact_top_k"] = """
+    WITH whole AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_dot_product(CAST(q.w AS DOUBLE[]), CAST(c.w AS DOUBLE[])) AS BIGINT) AS score
+      FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+    ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+      FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query
+def op8_exact_top_k(spark, sf):
+    return top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
