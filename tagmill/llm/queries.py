@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from .binary_codes import near_vectors
 from .bpe_table import decode_ids, encode_by_table, vocabulary
 from .packing import pack_documents
 from .records import token_records
@@ -76,3 +77,25 @@ SQL["op8_exact_top_k"] = """
 @query
 def op8_exact_top_k(spark, sf):
     return top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+SQL["op3_embedding_dedup"] = """
+    WITH RECURSIVE whole AS (
+      SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM whole a JOIN whole b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.98),
+    reach AS (
+      SELECT vec_id AS a, vec_id AS b FROM embeddings
+      UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT vec_id, CAST((SELECT count(*) FROM links WHERE links.a = vec_id) AS BIGINT) AS n_links,
+           component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a = vec_id"""
+
+
+@query
+def op3_embedding_dedup(spark, sf):
+    return near_vectors(table(spark, sf, "embeddings"), threshold=0.98)
