@@ -143,8 +143,9 @@ class WordEncoder:
 
     def other_words(self, text: str) -> list[str] | None:
         """By the tokenizer's normaliser and pattern; special strings are left to the library."""
-        if "<|" in text:
-            return None
+        return None if "<|" in text else self.pattern_words(text)
+
+    def pattern_words(self, text: str) -> list[str]:
         return self.pattern.findall(self.tokenizer.normalizer.normalize_str(text)) if text else []
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from .automaton import token_counts
 from .binary_codes import near_vectors
 from .bpe_table import decode_ids, encode_by_table, vocabulary
 from .packing import pack_documents
@@ -99,3 +100,9 @@ SQL["op3_embedding_dedup"] = """
 @query
 def op3_embedding_dedup(spark, sf):
     return near_vectors(table(spark, sf, "embeddings"), threshold=0.98)
+
+
+@query
+def op4_token_counts(spark, sf):
+    counted = token_counts(table(spark, sf, "documents"), WORD_VOCABULARY)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
