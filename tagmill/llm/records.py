@@ -72,7 +72,7 @@ def write_records(
     definition = spark.sparkContext.broadcast(definition_of(tokenizer_path))
     ordered = docs.select(F.col(key), F.col(text).alias("text"))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    ordered = ordered.repartitionByRange(tasks, key, "text").sortWithinPartitions(key, "text")
+    ordered = ordered.repartitionByRange(tasks, key).sortWithinPartitions(key, "text")
     fields = [
         T.StructField(key, docs.schema[key].dataType),
         T.StructField("file", T.StringType()),
