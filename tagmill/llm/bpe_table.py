@@ -17,14 +17,15 @@ from pyspark.sql import types as T
 
 from .encoders import WordEncoder, definition_of, pieces_by_id
 
-BLOCK_CHARS = 48_000_000  # layout only: results do not depend on it
+BLOCK_CHARS = 32_000_000  # layout only: results do not depend on it
 _PACKED_ROWS = 1_000
+_SPREAD = 3  # partitions per block, so that few blocks share a task
 
 
 def _packed(batch: pa.RecordBatch) -> bytes:
     """A batch as one compressed value."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -55,7 +56,7 @@ def packed_blocks(docs: DataFrame, key: str, text: str, blocks: int) -> DataFram
                 ["block", "rows"],
             )
 
-    return rows.mapInArrow(pack, "block int, rows binary").repartition(blocks, "block")
+    return rows.mapInArrow(pack, "block int, rows binary").repartition(_SPREAD * blocks, "block")
 
 
 def block_words(bundles: DataFrame, definition) -> DataFrame:
@@ -72,7 +73,7 @@ def block_words(bundles: DataFrame, definition) -> DataFrame:
                     seen.update([text] if words is None else words)
         for block, words in found.items():
             words.discard("")
-            for part in _slices(list(words), 100_000):
+            for part in _slices(sorted(words), 50_000):
                 blocks = pa.array(np.full(len(part), block, np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), blocks], ["word", "block"])
 
@@ -126,7 +127,9 @@ def encode_by_table(
     def gather(left: Iterator[pa.RecordBatch], right: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, known = WordEncoder(definition.value), {"": b""}
         for batch in right:
-            known.update(zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist()))
+            for a in range(0, batch.num_rows, 50_000):
+                part = batch.slice(a, 50_000)
+                known.update(zip(part.column("word").to_pylist(), part.column("ids").to_pylist()))
         find = known.__getitem__
         for batch in left:
             for rows in batch.column("rows"):
