@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .encoders import WordEncoder, definition_of, pieces_by_id
 
-BLOCK_CHARS = 32_000_000  # layout only: results do not depend on it
+BLOCK_CHARS = 16_000_000  # layout only: results do not depend on it
 _PACKED_ROWS = 1_000
 _SPREAD = 3  # partitions per block, so that few blocks share a task
 
