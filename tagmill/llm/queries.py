@@ -12,6 +12,7 @@ from .packing import pack_documents
 from .records import token_records
 from .simhash import simhash_components
 from .topk import top_k
+from .toxicity import is_held_out, with_toxicity
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -106,3 +107,15 @@ def op3_embedding_dedup(spark, sf):
 def op4_token_counts(spark, sf):
     counted = token_counts(table(spark, sf, "documents"), WORD_VOCABULARY)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@query
+def op2_toxicity(spark, sf):
+    docs, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    scored = with_toxicity(docs, labels.select("doc_id", "toxic"))
+    return scored.select(
+        "doc_id",
+        is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
