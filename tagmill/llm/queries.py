@@ -11,6 +11,7 @@ from .bpe_table import decode_ids, encode_by_table, vocabulary
 from .packing import pack_documents
 from .records import token_records
 from .simhash import simhash_components
+from .suffixes import repeated_spans
 from .topk import top_k
 from .toxicity import is_held_out, with_toxicity
 
@@ -119,3 +120,9 @@ def op2_toxicity(spark, sf):
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op7_suffix_dedup(spark, sf):
+    spans = repeated_spans(table(spark, sf, "documents"))
+    return spans.select(F.col("id").alias("doc_id"), "begin", "end", "kept")
