@@ -9,6 +9,7 @@ from .automaton import token_counts
 from .binary_codes import near_vectors
 from .bpe_table import decode_ids, encode_by_table, vocabulary
 from .packing import pack_documents
+from .preferences import conversation_turns, format_preferences, swapped_last_answers
 from .records import token_records
 from .simhash import simhash_components
 from .suffixes import repeated_spans
@@ -126,3 +127,55 @@ def op2_toxicity(spark, sf):
 def op7_suffix_dedup(spark, sf):
     spans = repeated_spans(table(spark, sf, "documents"))
     return spans.select(F.col("id").alias("doc_id"), "begin", "end", "kept")
+
+
+def _rendered_sql(turns: str) -> str:
+    return f"""coalesce(list_aggregate(list_transform({turns}, lambda t:
+        '<|im_start|>' || coalesce(t.role, '') || chr(10) || coalesce(t.text, '') || '<|im_end|>' || chr(10)),
+        'string_agg', ''), '')"""
+
+
+def _spans_sql(turns: str) -> str:
+    size = "length(t.role) + length(t.text) + 24"
+    return f"""coalesce(list_aggregate(list_filter(list_transform({turns}, lambda t, i:
+        CASE WHEN t.role = 'assistant' THEN
+          CAST(coalesce(list_sum(list_transform({turns}[1:i - 1], lambda t: {size})), 0) + 22 AS BIGINT) || '-' ||
+          CAST(list_sum(list_transform({turns}[1:i], lambda t: {size})) AS BIGINT) END),
+        lambda s: s IS NOT NULL), 'string_agg', ','), '')"""
+
+
+SQL["op10_preferences"] = f"""
+    WITH conv AS (
+      SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn, role, text) AS turns,
+             max(CASE WHEN role = 'assistant' THEN n END) AS last
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations)
+      GROUP BY conv_id),
+    pair AS (
+      SELECT a.conv_id,
+             CASE WHEN a.last IS NULL THEN a.turns ELSE a.turns[1:a.last] END AS chosen,
+             CASE WHEN a.last IS NULL THEN a.turns WHEN b.last IS NULL THEN a.turns[1:a.last - 1]
+                  ELSE list_concat(a.turns[1:a.last - 1], [b.turns[b.last]]) END AS rejected
+      FROM conv a LEFT JOIN conv b ON b.conv_id = xor(a.conv_id, 1)),
+    met AS (
+      SELECT *, CAST(len(list_filter(range(1, least(len(chosen), len(rejected)) + 1),
+                lambda i: chosen[1:i] = rejected[1:i])) AS INTEGER) AS common_turns FROM pair)
+    SELECT conv_id, common_turns, {_rendered_sql('chosen[1:common_turns]')} AS prompt,
+           {_rendered_sql('chosen[common_turns + 1:]')} AS chosen_text,
+           {_rendered_sql('rejected[common_turns + 1:]')} AS rejected_text,
+           {_spans_sql('chosen[common_turns + 1:]')} AS chosen_spans,
+           {_spans_sql('rejected[common_turns + 1:]')} AS rejected_spans
+    FROM met"""
+
+
+@query
+def op10_preferences(spark, sf):
+    turns = conversation_turns(table(spark, sf, "conversations"))
+    pairs = format_preferences(swapped_last_answers(turns))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["begin"], s["end"])), ",")
+
+    return pairs.select(
+        "conv_id", "common_turns", "prompt", "chosen_text", "rejected_text",
+        listed("chosen_spans").alias("chosen_spans"), listed("rejected_spans").alias("rejected_spans"),
+    )
