@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .encoders import WordEncoder, byte_alphabet, definition_of, grouped, is_plain, spaced_words
+from .encoders import WordEncoder, byte_alphabet, definition_of, grouped, is_plain, is_settled, spaced_words
 
 # Counts do not depend on these; they bound a worker's memory.
 MAX_STATES = 131_000
@@ -212,6 +212,9 @@ class TokenCounter:
             parts.append(symbols)
             owners.append(np.flatnonzero(plain)[np.searchsorted(np.cumsum(sizes), places, side="right")])
         for k in np.flatnonzero(~plain).tolist():
+            if not is_settled(texts[k]):
+                counts[k] = len(self.encoder.library(texts[k])) // self.encoder.dtype.itemsize
+                continue
             pieces = self.special.split(texts[k]) if self.special else [texts[k]]
             counts[k] += len(pieces) - 1
             words = [w for piece in pieces for w in self.encoder.pattern_words(piece)]

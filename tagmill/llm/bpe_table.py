@@ -60,8 +60,8 @@ def packed_blocks(docs: DataFrame, key: str, text: str, blocks: int) -> DataFram
 
 
 def block_words(bundles: DataFrame, definition) -> DataFrame:
-    """(word, block): the distinct words of every block. A text that only the library can cut, because it
-    holds a special string, counts as one word."""
+    """(word, block): the distinct words of every block. A text that only the library can
+    cut counts as one word."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, found = WordEncoder(definition.value), {}
@@ -96,7 +96,7 @@ def encoded_words(words: DataFrame, definition) -> DataFrame:
             for word in batch.column("word").to_pylist():
                 if word != last:
                     last = word
-                    packed = encoder.library(word) if "<|" in word else encoder.words.packed(word)
+                    packed = encoder.library(word) if encoder.needs_library(word) else encoder.words.packed(word)
                 ids.append(packed)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("word"), pa.array(ids, pa.binary())], ["block", "word", "ids"]

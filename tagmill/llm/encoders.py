@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 
@@ -74,6 +76,18 @@ def is_plain(text: str) -> bool:
     return "'" not in text and "<|" not in text and "\0" not in text and (text.isascii() or max(text) <= "ÿ")
 
 
+@cache
+def _is_settled(character: str) -> bool:
+    old = unicodedata.ucd_3_2_0.category(character)
+    return old != "Cn" and old[0] == unicodedata.category(character)[0]
+
+
+def is_settled(text: str) -> bool:
+    """Whether the class of every character has been the same since Unicode 3.2, so that all engines agree on
+    it; other texts go to the library whole."""
+    return text.isascii() or all(map(_is_settled, set(text)))
+
+
 def spaced_words(texts: list[str], classes: np.ndarray) -> list[str]:
     """Plain texts lower-cased, with one space before each word and no other white space."""
     codes = np.frombuffer("\0".join(texts).lower().encode("latin-1"), np.uint8)
@@ -142,8 +156,13 @@ class WordEncoder:
         return [next(spaced).split(" ") if p else self.other_words(t) for t, p in zip(texts, plain)]
 
     def other_words(self, text: str) -> list[str] | None:
-        """By the tokenizer's normaliser and pattern; special strings are left to the library."""
-        return None if "<|" in text else self.pattern_words(text)
+        """By the tokenizer's normaliser and pattern, where the library isn't needed."""
+        return None if self.needs_library(text) else self.pattern_words(text)
+
+    @staticmethod
+    def needs_library(text: str) -> bool:
+        """Texts that may hold a special string, or characters that engines class differently."""
+        return "<|" in text or not is_settled(text)
 
     def pattern_words(self, text: str) -> list[str]:
         return self.pattern.findall(self.tokenizer.normalizer.normalize_str(text)) if text else []
@@ -168,6 +187,7 @@ class ByteEncoder:
     def __init__(self, definition: str):
         import tiktoken
 
+        self.tokenizer = load_tokenizer(definition)
         data, code = json.loads(definition), {c: b for b, c in enumerate(byte_alphabet())}
         ranks = {bytes(code[c] for c in t): i for t, i in data["model"]["vocab"].items()}
         special = {t["content"]: t["id"] for t in data["added_tokens"]}
@@ -178,8 +198,11 @@ class ByteEncoder:
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         for text in texts:
-            found = self.engine.encode_to_numpy(text, allowed_special="all") if text else np.array([], self.dtype)
-            yield found.astype(self.dtype, copy=False).tobytes()
+            if text and is_settled(text):
+                yield self.engine.encode_to_numpy(text, allowed_special="all").astype(self.dtype).tobytes()
+            else:
+                ids = self.tokenizer.encode(text or "", add_special_tokens=False).ids
+                yield np.array(ids, self.dtype).tobytes()
 
 
 def text_encoder(definition: str) -> WordEncoder | ByteEncoder:
