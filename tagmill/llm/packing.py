@@ -1,8 +1,9 @@
 """Best-fit packing of tokenised documents, certified by lower bounds from dual feasible functions.
 
-Only lengths decide a packing, so packing moves one small row per piece and never ids. Each partition packs
+Only lengths decide a packing, so packing moves one small row per piece and never ids. Pieces are dealt so that all
+partitions hold the same mix of lengths. Each partition packs
 its pieces by best-fit decreasing and compares its number of sequences with a lower bound. Sequences that
-could still be improved (twice as many as the gap, and the one that is filled least) give their pieces back;
+could still be improved (in proportion to the gap, and the one that is filled least) give their pieces back;
 those pieces meet in fewer partitions and are packed again, until one partition holds what is left.
 """
 
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from .encoders import definition_of, text_encoder
 # Layout only: any value gives a packing of all pieces.
 PIECES_PER_TASK = 100_000
 _FEWER = 16
-_GIVEN_BACK = 2
+_GIVEN_BACK = 4
 
 
 def tokenized_pieces(
@@ -126,14 +128,18 @@ def _pack_task(limit: int, turn: int, last: bool, columns: list[str]):
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        table = pa.Table.from_batches(parts).combine_chunks()
+        whole = pa.Table.from_batches(parts)
+        for hand in sorted(whole["_hand"].unique().to_pylist()):
+            yield from pack_hand(whole.filter(pc.equal(whole["_hand"], hand)).combine_chunks(), hand)
+
+    def pack_hand(table: pa.Table, hand: int) -> Iterator[pa.RecordBatch]:
         order = [("length", "descending")] + [(c, "ascending") for c in columns if c != "length"]
         table = table.sort_by(order)  # alike after a retry, whatever order the rows came in
         lengths = table["length"].to_numpy()
         chosen = best_fit_decreasing(lengths, limit)
         number = int(chosen.max()) + 1
         filled = np.bincount(chosen, weights=lengths, minlength=number).astype(np.int64)
-        gap = number - lower_bound(lengths, limit)
+        gap = number - int(lengths.sum()) // limit if number > lower_bound(lengths, limit) else 0
         back = np.zeros(number, bool)
         if not last:
             back[np.argsort(filled, kind="stable")[: 1 + _GIVEN_BACK * gap]] = True
@@ -145,7 +151,7 @@ def _pack_task(limit: int, turn: int, last: bool, columns: list[str]):
         starts = ends - lengths[by_bin]
         offset = np.empty(len(ends), np.int64)
         offset[by_bin] = starts - np.maximum.accumulate(np.where(first, starts, 0))
-        base = (turn << 56) + (TaskContext.get().partitionId() << 32)
+        base = (turn << 56) + (hand << 32)
         sequence = pa.array(chosen + base, mask=back[chosen])
         out = table.select(columns).append_column("sequence_id", sequence)
         yield from out.append_column("offset", pa.array(offset, mask=back[chosen])).to_batches()
@@ -153,6 +159,20 @@ def _pack_task(limit: int, turn: int, last: bool, columns: list[str]):
     return pack
 
 
+def _deal(hands: int, columns: list[str]):
+    """Every task deals its pieces by length, one to each hand in turn, so that all hands are alike."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if parts:
+            table = pa.Table.from_batches(parts)
+            table = table.sort_by([("length", "ascending")] + [(c, "ascending") for c in columns if c != "length"])
+            turn = (np.arange(table.num_rows) + TaskContext.get().partitionId()) % hands
+            yield from table.append_column("_hand", pa.array(turn.astype(np.int32))).to_batches()
+
+    return deal
+
+
 def pack_pieces(pieces: DataFrame, limit: int = 1024) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces (columns ``length``, at most ``limit``, and any others).
 
@@ -163,12 +183,16 @@ def pack_pieces(pieces: DataFrame, limit: int = 1024) -> DataFrame:
     schema = T.StructType(
         [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
+    hands = T.StructType([*pieces.schema.fields, T.StructField("_hand", T.IntegerType())])
     seen = Observation()
     left = written(pieces, f"{folder}/pieces", seen, F.count(F.lit(1)).alias("rows"))
     tasks, turn, done = max(1, -(-seen.get["rows"] // PIECES_PER_TASK)), 0, []
     while True:
         # Bounded: with fewer than 16 tasks what they give back fits one task.
-        dealt = left.repartition(tasks, F.xxhash64(*[c for c in left.columns])) if tasks > 1 else left.coalesce(1)
+        if tasks > 1:
+            dealt = left.mapInArrow(_deal(tasks, pieces.columns), hands).repartition(tasks, "_hand")
+        else:
+            dealt = left.withColumn("_hand", F.lit(0)).coalesce(1)
         task = _pack_task(limit, turn, tasks == 1, pieces.columns)
         packed = written(dealt.mapInArrow(task, schema), f"{folder}/turn_{turn}")
         done.append(packed.where(F.col("sequence_id").isNotNull()))
