@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .encoders import WordEncoder, definition_of, pieces_by_id
+from .encoders import WordEncoder, definition_of, pieces_by_id, release_memory
 
-BLOCK_CHARS = 16_000_000  # layout only: results do not depend on it
+BLOCK_CHARS = 24_000_000  # layout only: results do not depend on it
 _PACKED_ROWS = 1_000
 _SPREAD = 3  # partitions per block, so that few blocks share a task
 
@@ -76,6 +76,8 @@ def block_words(bundles: DataFrame, definition) -> DataFrame:
             for part in _slices(sorted(words), 50_000):
                 blocks = pa.array(np.full(len(part), block, np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), blocks], ["word", "block"])
+        found.clear()
+        release_memory()
 
     return bundles.mapInArrow(name, "word string, block int")
 
@@ -145,6 +147,8 @@ def encode_by_table(
                     ends = np.cumsum([0, *(len(p) // 2 for p in packed)], dtype=np.int32)
                     ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                     yield pa.RecordBatch.from_arrays([part["key"].combine_chunks(), ids], schema.names)
+        known.clear()
+        release_memory()
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
         return _as_table(gather(left.to_batches(), right.to_batches()), schema)

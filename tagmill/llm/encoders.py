@@ -13,7 +13,7 @@ import os
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 
@@ -140,14 +140,25 @@ class WordEncoder:
     dtype = np.dtype("<u2")
 
     def __init__(self, definition: str):
+        self.definition, self.classes = definition, latin_classes()
+
+    # What only some texts or tasks need is loaded when they do.
+    @cached_property
+    def tokenizer(self):
+        tokenizer = load_tokenizer(self.definition)
+        assert tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        return tokenizer
+
+    @cached_property
+    def words(self) -> WordTable:
+        return WordTable(self.tokenizer.model)
+
+    @cached_property
+    def pattern(self):
         import regex
 
-        self.tokenizer = load_tokenizer(definition)
-        assert self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
-        self.words = WordTable(self.tokenizer.model)
-        self.classes = latin_classes()
-        cut = json.loads(definition)["pre_tokenizer"]["pretokenizers"][0]
-        self.pattern = regex.compile(cut["pattern"]["Regex"])
+        cut = json.loads(self.definition)["pre_tokenizer"]["pretokenizers"][0]
+        return regex.compile(cut["pattern"]["Regex"])
 
     def words_of(self, texts: list[str]) -> list[list[str]]:
         """The words of every text, some empty; None where only the library can tell."""
@@ -205,6 +216,20 @@ class ByteEncoder:
                 yield np.array(ids, self.dtype).tobytes()
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system: workers live on for later tasks, beside the executor's own heap."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_encoder(definition: str) -> WordEncoder | ByteEncoder:
     return WordEncoder(definition) if is_word_vocabulary(definition) else ByteEncoder(definition)
 
