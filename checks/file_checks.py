@@ -117,16 +117,16 @@ def item_tsv_round_trip(spark, sf):
 
 @check(
     """
-    SELECT CASE WHEN event_type = 'signup' THEN 'user' ELSE 'record' END AS file, event_id
-    FROM events WHERE event_type = 'signup' OR value IS NOT NULL"""
+    SELECT CASE WHEN event_type = 'signup' THEN 'user'
+                WHEN event_type = 'click' AND value > 10 THEN 'record' ELSE 'rest' END AS file, event_id
+    FROM events"""
 )
 def routed_items(spark, sf):
     signup = F.col("event_type") == "signup"
-    outputs = route(
-        table(spark, sf, "events"), {"user": signup, "record": F.col("value").isNotNull()}
-    )
-    user, record = [d.select(F.lit(n).alias("file"), "event_id") for n, d in outputs.items()]
-    return user.unionByName(record)
+    record = (F.col("event_type") == "click") & (F.col("value") > 10)
+    outputs = route(table(spark, sf, "events"), {"user": signup, "record": record})
+    named = [d.select(F.lit(n).alias("file"), "event_id") for n, d in outputs.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 @check("SELECT count(*) AS rows, true AS within_limit FROM orders")

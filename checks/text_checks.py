@@ -129,7 +129,8 @@ def site_dates(spark, sf):
     SELECT o_orderkey, CASE
         WHEN o_orderkey % 8 < 4 THEN strftime(o_orderdate, '%Y-%m-%d')
         WHEN o_orderkey % 8 < 6 THEN strftime(last_day(o_orderdate), '%Y-%m-%d')
-        WHEN o_orderkey % 8 = 6 THEN strftime(o_orderdate, '%Y-12-01') END AS parsed
+        WHEN o_orderkey % 8 = 6 THEN strftime(o_orderdate, '%Y-12-01')
+        ELSE strftime(o_orderdate, '%Y-12-31') END AS parsed
     FROM orders"""
 )
 def document_dates(spark, sf):
@@ -138,6 +139,20 @@ def document_dates(spark, sf):
     )
 
 
+@check("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS parsed FROM orders")
+def document_dates_dressed(spark, sf):
+    """With a weekday in brackets, a time behind the date, or full-width digits."""
+    day = F.date_format("o_orderdate", "yyyy年M月d日")
+    shown = (
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(day, F.lit("（日）")))
+        .when(F.col("o_orderkey") % 3 == 1, F.concat(F.date_format("o_orderdate", "yyyy-M-d"), F.lit(" 9:30")))
+        .otherwise(F.translate(day, "0123456789", "０１２３４５６７８９"))
+    )
+    return table(spark, sf, "orders").select(
+        "o_orderkey", iso_date(parse_document_date(shown, AS_OF)).alias("parsed")
+    )
+
+
 @check(
     """
     SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 3 = 2 THEN last_day(o_orderdate)

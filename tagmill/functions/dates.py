@@ -9,18 +9,10 @@ from pyspark.sql import functions as F
 
 from .text import _col
 
-# Accepted years, separators and day ranges; the order of choices matters, since
-# the first that fits decides (a day too large for its month is cut to its leading digit).
-_YEAR = r"(?:1\d{3}|20\d{2})"
-_AFTER_YEAR = r"(?:[./\-\\]|年)"
-_AFTER_MONTH = r"(?:月|[./\-\\])"
-_LONG_MONTH = rf"(?:0?[13578]|1[0-2]){_AFTER_MONTH}(?:[12][0-9]|3[01]|0?[1-9])"
-_SHORT_MONTH = rf"(?:0?[469]|11){_AFTER_MONTH}(?:[12][0-9]|30|0?[1-9])"
-_FEBRUARY = rf"0?2{_AFTER_MONTH}(?:[12][0-9]|0?[1-9])"
-_MONTH_ONLY = r"(?:1[0-2]|0?[1-9])"
-SITE_DATE = (
-    rf"{_YEAR}(?:{_AFTER_YEAR}(?:{_LONG_MONTH}|{_SHORT_MONTH}|{_FEBRUARY}|{_MONTH_ONLY}))?"
-)
+# Years 1000 to 2099, the separators behind a year and behind a month, and the days that a
+# month takes (a November 31 is read as such and so is no date).
+_DATE_PARTS = r"(1\d{3}|20\d{2})(?:[-./\\年](\d{1,2})(?:[-./\\月](\d{1,2}))?)?"
+_DAYS = (31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 31, 31)
 
 _MONTH_NAMES = (
     "january february march april may june july august september october november december"
@@ -34,17 +26,27 @@ def _checked_date(year: Column, month: Column, day: Column) -> Column:
     )
 
 
+def _leading_number(digits: Column, largest: Column) -> Column:
+    """One or two digits as a number from 1 to ``largest``, else the first of them alone, else null."""
+    whole, first = digits.try_cast("int"), F.substring(digits, 1, 1).try_cast("int")
+    return F.when(whole.between(1, largest), whole).when(first > 0, first)
+
+
 def parse_site_date(col) -> Column:
-    """Leftmost year-month-day, else year-month (day 1), else year (1 January)."""
-    found = F.regexp_extract(_col(col), SITE_DATE, 0)
-    numbers = F.split(found, r"[^0-9]+")
+    """Leftmost year-month-day, else year-month (day 1), else year (1 January).
+
+    A month over 12 is its first digit, and what follows is no day then; a day too large for its month
+    is its first digit.
+    """
+    year, month_digits, day_digits = (F.regexp_extract(_col(col), _DATE_PARTS, i) for i in (1, 2, 3))
+    month = _leading_number(month_digits, F.lit(12))
+    days = F.get(F.array(*[F.lit(n) for n in _DAYS]), month - 1)
+    day = F.when(month == month_digits.try_cast("int"), _leading_number(day_digits, days))
     first = F.lit("1")
     return F.when(
-        found != "",
+        year != "",
         _checked_date(
-            F.get(numbers, F.lit(0)),
-            F.coalesce(F.get(numbers, F.lit(1)), first),
-            F.coalesce(F.get(numbers, F.lit(2)), first),
+            year, F.coalesce(month.cast("string"), first), F.coalesce(day.cast("string"), first)
         ),
     )
 
@@ -54,9 +56,14 @@ def parse_document_date(col, as_of: dt.date) -> Column:
     day of the month is meant; a year is required.
 
     Covered forms: ``2009-4-5``, ``2009/4/5``, ``2009.4.5``, ``2009年4月5日`` and the same without
-    a day, ``April 5, 2009``, ``5 April 2009``, ``April 2009``, full or three-letter month names.
+    a day, ``April 5, 2009``, ``5 April 2009``, ``April 2009``, full or three-letter month names. A bare
+    year takes the month of ``as_of`` and its last day. Digits may be full-width; a word in brackets (a weekday)
+    and a time behind the date are ignored.
     """
-    text = F.regexp_replace(_col(col), r"(?U)^\s+|\s+$", "")
+    text = F.translate(_col(col), "０１２３４５６７８９", "0123456789")
+    text = F.regexp_replace(text, r"(?U)[(（][^()（）]{1,12}[)）]", "")
+    text = F.regexp_replace(text, r"(?U)\s+\d{1,2}:\d{2}(:\d{2})?\s*$", "")
+    text = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
     def part(pattern: str, group: int) -> Column:
         return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
@@ -65,6 +72,7 @@ def parse_document_date(col, as_of: dt.date) -> Column:
         month_end = F.last_day(_checked_date(year, month, F.lit("1")))
         return F.when(day.isNull(), month_end).otherwise(_checked_date(year, month, day))
 
+    bare_year = r"^(\d{4})$"
     year_only = r"^(\d{1,4})年$"
     marked = r"^(\d{4})([-/.])(\d{1,2})(?:\2(\d{1,2}))?$"
     chinese = r"^(\d{4})年(\d{1,2})月(?:(\d{1,2})日)?$"
@@ -82,6 +90,7 @@ def parse_document_date(col, as_of: dt.date) -> Column:
             text.rlike(year_only),
             _checked_date(part(year_only, 1), F.lit(str(as_of.month)), F.lit(str(as_of.day))),
         )
+        .when(text.rlike(bare_year), dated(part(bare_year, 1), F.lit(str(as_of.month)), F.lit(None)))
         .when(text.rlike(marked), dated(part(marked, 1), part(marked, 3), part(marked, 4)))
         .when(text.rlike(chinese), dated(part(chinese, 1), part(chinese, 2), part(chinese, 3)))
         .when(

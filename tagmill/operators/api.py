@@ -15,8 +15,10 @@ PAGE_SIZE = 50
 
 
 def api_documents(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Bodies parsed with a schema into ``body``; answers that only say "not found" are dropped."""
-    parsed = df.where(~(F.col("status") == 404)).withColumn("body", F.from_json("body", schema))
+    """Bodies parsed with a schema into ``body``; answers that only say "not found" are
+    dropped, and so are bodies that aren't JSON. An answer without a status counts as given."""
+    answered = df.where(~F.col("status").eqNullSafe(404) & F.try_parse_json("body").isNotNull())
+    parsed = answered.withColumn("body", F.from_json("body", schema))
     tombstone = F.coalesce(F.col("body.code") == 404, F.lit(False))
     return parsed.where(F.col("body").isNotNull() & ~tombstone)
 

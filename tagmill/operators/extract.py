@@ -182,7 +182,7 @@ def _first_word(text) -> Column:
 def page_users(pages: DataFrame) -> DataFrame:
     """``uid, name, nickname, joindate`` of profiles with a header and some activity."""
     found = extract_pages(pages, PROFILE_RULES).where("has_profile and timeline > 0")
-    name = F.substring(F.col("name"), 2, 1_000_000)
+    name = F.substr(F.col("name"), F.lit(2))
     return found.select(
         F.coalesce(_asked_id(), name.try_cast("long")).alias("uid"),
         name.alias("name"),

@@ -15,6 +15,7 @@ from ..functions.infobox import (
     read_infobox,
 )
 from ..functions.text import _col, normalize_tag, strip_nul
+from ..sources.readers import joined_key
 
 # Numeric media codes.
 TYPE_CODES = {1: "book", 2: "anime", 3: "music", 4: "game", 6: "real"}
@@ -48,9 +49,13 @@ def fav_count() -> Column:
 def first_non_null(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str
 ) -> DataFrame:
-    """Per key and column, the first non-null value in the given order."""
+    """Per key and column, the first non-null value in the given order.
+
+    Rows without an order come last; rows that tie are taken in one order for all columns.
+    """
+    place = ", ".join([f"`{order}` IS NULL", f"`{order}`", *(f"`{c}` IS NULL, `{c}`" for c in columns)])
     picked = [
-        F.expr(f"min_by(`{c}`, `{order}`) FILTER (WHERE `{c}` IS NOT NULL)").alias(c)
+        F.expr(f"min_by(`{c}`, struct({place})) FILTER (WHERE `{c}` IS NOT NULL)").alias(c)
         for c in columns
     ]
     present = df.dropna(subset=list(keys))
@@ -131,18 +136,8 @@ def subject_list(subjects: DataFrame) -> DataFrame:
     )
 
 
-def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Unused columns left out; the scan then never reads them."""
-    return df.drop(*columns)
-
-
 def composite_key(*columns, separator: str = "_") -> Column:
-    return F.concat_ws(separator, *columns)
-
-
-def add_lineage(df: DataFrame, **values) -> DataFrame:
-    """Columns that say where a row came from."""
-    return df.withColumns({name: _col(value) for name, value in values.items()})
+    return joined_key([_col(c) for c in columns], separator)
 
 
 def known_only(records: DataFrame, known: DataFrame, on: str, key: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_tag, strip_nul
-from ..session import partitions_for, rows_written, scratch_folder, written
+from ..session import Progress, partitions_for, rows_written, scratch_folder, written
 from .skew import fan_out, heavy_keys, spread
 from .subjects import known_only
 
@@ -93,7 +93,7 @@ def user_authority(
     subject: str = "subject_id",
     tag: str = "tags_normalized",
     tol: float = TOLERANCE,
-    max_iter: int = 100,
+    max_iter: int | None = None,
 ) -> DataFrame:
     """User scores (sum 1) after the rounds settle: ``user, score``."""
     spark = edges.sparkSession
@@ -115,11 +115,10 @@ def _settle(layouts, user, hub, tol, max_iter, folder) -> DataFrame:
     scores = written(
         users, f"{folder}/scores-start", seen, F.sum("raw").alias("total")
     )
-    total = seen.get["total"]
-    for step in range(max_iter):
-        if not total:
-            break
-        scores = scores.select(user, (F.col("raw") / F.lit(total)).alias("score"))
+    total, step, progress = seen.get["total"], 0, Progress("user scores")
+    raw, previous = F.col("raw"), F.col("previous")
+    while total:
+        scores = scores.select(user, (raw / F.lit(total)).alias("score"))
         hubs = _hub_sums(layouts["user"], scores, user, hub)
         moved = (
             _user_sums(layouts["hub"], hubs, user, hub)
@@ -127,15 +126,27 @@ def _settle(layouts, user, hub, tol, max_iter, folder) -> DataFrame:
             .select(user, "raw", F.col("score").alias("previous"))
         )
         seen = Observation()
-        moved = written(moved, f"{folder}/scores-{step % 2}", seen, F.sum("raw").alias("total"))
-        total = seen.get["total"]
-        change = moved.agg(
-            F.sqrt(F.sum((F.col("raw") / F.lit(total) - F.col("previous")) ** 2)).alias("change")
-        ).first()["change"]
-        scores = moved.select(user, "raw")
+        gap = raw - F.lit(total) * previous  # totals settle, so this is nearly the change
+        moved = written(
+            moved,
+            f"{folder}/scores-{step % 2}",
+            seen,
+            F.sum("raw").alias("total"),
+            F.sum(gap * gap).alias("square"),
+            F.sum(gap * previous).alias("along"),
+            F.sum(previous * previous).alias("old"),
+        )
+        # The new total is known only now; the distance is put right for it.
+        sums, expected = seen.get, total
+        total = sums["total"]
+        scores, step = moved.select(user, "raw"), step + 1
+        off = expected - total
+        square = sums["square"] + 2 * off * sums["along"] + off * off * sums["old"]
+        change = max(square, 0.0) ** 0.5 / total
         if change < tol:
             break
-    return scores.select(user, (F.col("raw") / F.lit(total or 1.0)).alias("score"))
+        progress.unsettled(change, max_iter)
+    return scores.select(user, (raw / F.lit(total or 1.0)).alias("score"))
 
 
 def vector_distance(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
@@ -159,7 +170,7 @@ def tag_confidence(
     subject: str = "subject_id",
     tag: str = "tags_normalized",
     tol: float = TOLERANCE,
-    max_iter: int = 100,
+    max_iter: int | None = None,
 ) -> DataFrame:
     """``subject, tag, confidence, tagnorm_cnt``: summed scores and number of the hub's tag rows."""
     folder = scratch_folder(edges.sparkSession, "confidence")
@@ -184,7 +195,7 @@ def tag_table(
     archive: DataFrame,
     mapping: Mapping[str, str] | None = None,
     tol: float = TOLERANCE,
-    max_iter: int = 100,
+    max_iter: int | None = None,
 ) -> DataFrame:
     """``iid, tags, tags_normalized, confidence, tag_cnt, tagnorm_cnt``, one row per raw tag.
 

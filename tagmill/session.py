@@ -49,6 +49,25 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+class Progress:
+    """Watches an iteration that has no round limit of its own: it may take long, but must come nearer."""
+
+    PATIENCE = 1_000  # rounds without a new best before an iteration counts as stuck
+
+    def __init__(self, name: str):
+        self.name, self.best, self.rounds, self.since = name, float("inf"), 0, 0
+
+    def unsettled(self, change: float, limit: int | None = None) -> None:
+        self.rounds += 1
+        self.since = 0 if change < self.best else self.since + 1
+        self.best = min(self.best, change)
+        if (limit is not None and self.rounds >= limit) or self.since > self.PATIENCE:
+            raise RuntimeError(
+                f"{self.name} has not settled after {self.rounds} rounds; last change {change:.3g}"
+            )
+
+
+# Layout only: results do not depend on it.
 ROWS_PER_PARTITION = 200_000
 
 

@@ -37,7 +37,13 @@ def read_lines_with_key(
 def line_key(line, fields: Sequence[str], separator: str = "_") -> Column:
     """Key of a raw JSON line: the given fields joined. The line is parsed once, for these only."""
     parsed = F.from_json(line, T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-    return F.concat_ws(separator, *[parsed[name] for name in fields])
+    return joined_key([parsed[name] for name in fields], separator)
+
+
+def joined_key(parts: Sequence[Column], separator: str = "_") -> Column:
+    """Parts joined to one key; null if a part is null, so that (1, null) and (null, 1) stay apart from any key."""
+    texts = [part.cast("string") for part in parts]
+    return F.concat(*[x for text in texts for x in (F.lit(separator), text)][1:])
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -95,8 +95,10 @@ def write_item_tsv(df: DataFrame, path: str, fields: Sequence[str]) -> None:
     write_tsv(flat_items(df, fields), path, header=True)
 
 
-def route(df: DataFrame, predicates: Mapping[str, Column]) -> dict[str, DataFrame]:
-    """One input split into named outputs; a row goes to the first predicate it meets.
+def route(
+    df: DataFrame, predicates: Mapping[str, Column], rest: str | None = "rest"
+) -> dict[str, DataFrame]:
+    """One input split into named outputs; a row goes to the first predicate it meets, else to ``rest``.
 
     Each output is a filter of the same input. Persist ``df`` first where computing it twice
     costs more than storing it.
@@ -106,6 +108,8 @@ def route(df: DataFrame, predicates: Mapping[str, Column]) -> dict[str, DataFram
         met = F.coalesce(predicate, F.lit(False))
         outputs[name] = df.where(met & ~taken)
         taken = taken | met
+    if rest is not None:
+        outputs[rest] = df.where(~taken)
     return outputs
 
 
