@@ -7,8 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tagmill.schemas import DOUBLE, INT, LONG, TEXT, struct
+from tagmill.operators.snapshots import removed_keys
 from tagmill.session import scratch_folder
 from tagmill.sources.readers import (
+    latest_snapshot,
     list_files,
     read_csv,
     read_jsonlines,
@@ -142,10 +144,22 @@ def chunked_files(spark, sf):
     )
 
 
-@check("SELECT 'orders.parquet' AS name UNION ALL SELECT 'lineitem.parquet'")
-def listed_files(spark, sf):
-    names = list_files(spark, sf).select(F.substring_index("path", "/", -1).alias("name"))
-    return names.where(F.col("name").isin("orders.parquet", "lineitem.parquet"))
+@check(
+    """
+    SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 = 0"""
+)
+def dated_snapshots(spark, sf):
+    """Two dated snapshots are written; the newest and the one before are found again and compared."""
+    folder, orders = scratch_folder(spark, "snapshots"), table(spark, sf, "orders").select("o_orderkey")
+    write_jsonlines(orders.where("o_orderkey % 3 <> 0"), f"{folder}/orders", dt.date(2026, 11, 30))
+    write_jsonlines(orders.where("o_orderkey % 5 <> 0"), f"{folder}/orders", dt.date(2026, 12, 1))
+    files = list_files(spark, folder)
+    newest, before = (latest_snapshot(files, "orders", n).first()["path"] for n in (1, 2))
+    shape = struct(o_orderkey=LONG)
+    gone = removed_keys(
+        read_jsonlines(spark, before, shape), read_jsonlines(spark, newest, shape), "o_orderkey"
+    )
+    return gone.select(F.col("o_orderkey").alias("id"))
 
 
 SCANNED = struct(l_partkey=LONG, l_linenumber=INT, l_quantity=DOUBLE)

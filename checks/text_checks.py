@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tagmill.functions.dates import iso_date, parse_document_date, parse_site_date, stamp_date
 from tagmill.functions.text import (
+    convert_by_table,
     map_chars,
     normalize_tag,
     number_in,
@@ -93,6 +94,15 @@ def converted_document_phrases(spark, sf):
     )
 
 
+@check("SELECT p_partkey, upper(p_name) AS converted FROM part")
+def converted_by_table(spark, sf):
+    """The table has each distinct word of all names, so every word is one longest match."""
+    part = table(spark, sf, "part")
+    words = part.select(F.explode(F.split("p_name", " ")).alias("source")).distinct()
+    phrases = words.withColumn("target", F.upper("source"))
+    return convert_by_table(part.select("p_partkey", F.col("p_name").alias("converted")), "converted", phrases)
+
+
 STYLES = ("yyyy-M-d", "yyyy年M月d日", "yyyy/M/d", "yyyy.M.d", "yyyy-M", "yyyy年M月", "yyyy年", "yyyy")
 STRF = ("%Y-%-m-%-d", "%Y年%-m月%-d日", "%Y/%-m/%-d", "%Y.%-m.%-d", "%Y-%-m", "%Y年%-m月", "%Y年", "%Y")
 

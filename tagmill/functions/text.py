@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 # Fixed value: every character that is neither letter, digit nor underscore is dropped.
 NON_WORD = r"[^\p{L}\p{N}_]"
 
-# A conversion table is shipped to every task, so its size is bounded.
-MAX_MAPPING_ENTRIES = 500_000
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -51,14 +48,13 @@ def strip_controls(col) -> Column:
 def map_chars(col, mapping: Mapping[str, str] | None) -> Column:
     """Replace table entries, the longest match first.
 
+    The table is a dict of the caller's and goes to every task; ``convert_by_table`` takes one of any size.
     One-to-one character tables become ``translate`` and stay in the JVM; tables with phrases
     go through an Arrow function that reads each text once.
     """
     col = _col(col)
     if not mapping:
         return col
-    if len(mapping) > MAX_MAPPING_ENTRIES:
-        raise ValueError(f"conversion table has more than {MAX_MAPPING_ENTRIES} entries")
     if all(len(k) == 1 and len(v) == 1 for k, v in mapping.items()):
         return F.translate(col, "".join(mapping), "".join(mapping.values()))
     return _phrase_converter(dict(mapping))(col)
@@ -86,12 +82,43 @@ def _phrase_converter(mapping: dict[str, str]):
     return converted
 
 
-def mapping_from(df: DataFrame) -> dict[str, str]:
-    """A conversion table held in a two-column DataFrame, as a dict; refuses oversized tables."""
-    rows = df.limit(MAX_MAPPING_ENTRIES + 1).collect()
-    if len(rows) > MAX_MAPPING_ENTRIES:
-        raise ValueError(f"conversion table has more than {MAX_MAPPING_ENTRIES} entries")
-    return {source: target for source, target in rows}
+def convert_by_table(
+    df: DataFrame, col: str, table: DataFrame, source: str = "source", target: str = "target"
+) -> DataFrame:
+    """``map_chars`` for a conversion table of any size, held in a DataFrame: replaces ``col`` in ``df``.
+
+    Each distinct text names the phrases it holds, up to the longest of the table, and meets the table by
+    phrase; at every place the longest one counts, from left to right. Null stays null. Of several rows for one
+    phrase the smallest target counts.
+    """
+    rows = table.where(F.length(source) > 0).groupBy(F.col(source).alias("_phrase")).agg(F.min(target).alias("_target"))
+    longest = rows.agg(F.max(F.length("_phrase"))).first()[0] or 0
+    texts = df.select(F.col(col).alias("_text")).where(F.length(col) > 0).distinct()
+    sizes = F.sequence(F.lit(1), F.greatest(F.least(F.lit(longest), F.length("_text") - F.col("_at") + 1), F.lit(1)))
+    named = (
+        texts.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_text"))))
+        .withColumn("_size", F.explode(sizes))
+        .withColumn("_phrase", F.substr("_text", "_at", "_size"))
+    )
+    hits = named.join(rows, "_phrase").groupBy("_text", "_at").agg(
+        F.max(F.struct("_size", "_target")).alias("_best")
+    )
+    hits = hits.groupBy("_text").agg(F.sort_array(F.collect_list(F.struct("_at", "_best"))).alias("_hits"))
+    text = F.col("_text")
+
+    def step(done: Column, hit: Column) -> Column:
+        between = F.substr(text, done["at"], hit["_at"] - done["at"])
+        met = F.struct(
+            (hit["_at"] + hit["_best"]["_size"]).alias("at"),
+            F.concat(done["out"], between, hit["_best"]["_target"]).alias("out"),
+        )
+        return F.when(hit["_at"] >= done["at"], met).otherwise(done)
+
+    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+    converted = F.aggregate("_hits", start, step, lambda d: F.concat(d["out"], F.substr(text, d["at"])))
+    by_text = hits.select("_text", converted.alias("_converted"))
+    joined = df.join(by_text, df[col] == by_text["_text"], "left")
+    return joined.withColumn(col, F.coalesce("_converted", col)).select(*df.columns)
 
 
 def normalize_tag(col, mapping: Mapping[str, str] | None = None) -> Column:

@@ -45,8 +45,7 @@ from ..functions.urls import (
     url_segment,
 )
 
-# Blocked accounts, media types with their own lists, entries per list page.
-BLOCKED_USERS = ("asm13177806",)
+# Media types with their own lists, entries per list page.
 LIST_TYPES = ("anime", "game", "book", "music", "real")
 LIST_PAGE_SIZE = 24
 
@@ -191,7 +190,7 @@ def page_users(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_home_users(pages: DataFrame, blocked: Sequence[str] = BLOCKED_USERS) -> DataFrame:
+def page_home_users(pages: DataFrame, blocked: Sequence[str] = ()) -> DataFrame:
     """The same fields from user home pages, without closed and blocked accounts, and the media
     types the user keeps lists of (``lists``)."""
     found = extract_pages(pages, HOME_RULES).where("has_profile and not has_banner")

@@ -7,9 +7,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.dates import date_stamp
 from ..operators.documents import build_documents
 from ..operators.pairs import compare_pairs, pair_scores
 from ..operators.ranking import SCORES, custom_rank
@@ -31,7 +33,8 @@ from ..sources.writers import (
 @dataclass(frozen=True)
 class Paths:
     """Where snapshots lie. ``records`` and ``stats`` are files or folders of JSON lines; previous
-    ones are optional and only feed the deletes. Outputs go below ``output``."""
+    ones are optional and only feed the deletes. Outputs go below ``output``, where the chain finds its own
+    previous subjects unless told others."""
 
     records: str
     stats: str
@@ -47,6 +50,19 @@ def newest(spark: SparkSession, folder: str, prefix: str, n: int = 1) -> str | N
     return found["path"] if found else None
 
 
+def _subjects_before(spark: SparkSession, folder: str, as_of: dt.date) -> str | None:
+    """The newest dated folder of subjects before ``as_of``; None on the first night."""
+    try:
+        files = list_files(spark, folder)
+    except AnalysisException as problem:
+        if "PATH_NOT_FOUND" in str(problem):
+            return None
+        raise
+    earlier = F.regexp_extract("path", r"/as_of=([0-9_]+)/", 1) < date_stamp(as_of)
+    found = latest_snapshot(files.where(earlier), folder.rsplit("/", 1)[-1]).first()
+    return found["path"] if found else None
+
+
 def run_pipeline(
     spark: SparkSession,
     paths: Paths,
@@ -73,6 +89,7 @@ def run_pipeline(
     stats = read_jsonlines(spark, paths.stats, schemas.SUBJECT_API)
     archive = read_jsonlines(spark, paths.archive, schemas.SUBJECT_ARCHIVE)
 
+    previous = paths.previous_subjects or _subjects_before(spark, f"{out}/subject_archive", as_of)
     subjects = publish("subject_archive", enrich_subjects(stats, archive))
     publish("subject_entity", subject_aliases(archive, mapping=mapping))
     tags = publish("tags", tag_table(records, archive, mapping))
@@ -92,8 +109,8 @@ def run_pipeline(
 
     documents = build_documents(subjects, tags, merged, as_of)
     publish("subject_comprehensive", documents, DOCUMENTS_PER_FILE)
-    if paths.previous_subjects:
-        before = read_jsonlines(spark, paths.previous_subjects, schemas.SUBJECTS)
+    if previous:
+        before = read_jsonlines(spark, previous, schemas.SUBJECTS)
         publish("subject_del", removed_keys(before, subjects, "id"))
 
     lines = _keyed_lines(spark, paths.records)

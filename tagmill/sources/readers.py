@@ -53,11 +53,21 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_snapshot(files: DataFrame, prefix: str, n: int = 1) -> DataFrame:
-    """The n-th newest of the files whose name starts with ``prefix``; empty with fewer than n."""
-    name = F.substring_index("path", "/", -1)
+    """The n-th newest snapshot whose name starts with ``prefix``; empty with fewer than n.
+
+    A snapshot is a file, or a dated folder (``<name>/as_of=<date>/...``) with all its files: its path is the folder
+    and its name what stands before the date; the date decides what is newer, and then the time.
+    """
+    dated = F.regexp_extract("path", r"^(.*/as_of=[0-9_]+)/[^/]+$", 1)
+    whole = F.when(dated != "", dated).otherwise(F.col("path"))
+    stamp = F.regexp_extract(whole, r"/as_of=([0-9_]+)$", 1)
+    name = F.substring_index(F.regexp_replace(whole, r"/as_of=[0-9_]+$", ""), "/", -1)
+    snapshots = files.withColumns({"_whole": whole, "_stamp": stamp, "_name": name})
+    snapshots = snapshots.groupBy("_whole", "_stamp", "_name").agg(F.max("mtime").alias("mtime"))
     return (
-        files.where(F.startswith(name, F.lit(prefix)))
-        .orderBy(F.desc("mtime"), F.desc("path"))
+        snapshots.where(F.startswith("_name", F.lit(prefix)))
+        .orderBy(F.desc("_stamp"), F.desc("mtime"), F.desc("_whole"))
+        .select(F.col("_whole").alias("path"), "mtime")
         .offset(n - 1)
         .limit(1)
     )

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import glob
 import json
@@ -10,7 +11,16 @@ from tagmill.operators.snapshots import snapshot_diff
 from tagmill.plans.nightly import Paths, newest, run_pipeline
 from tagmill.schemas import INT, LONG, TEXT, listed, struct
 from tagmill.session import counted, scratch_folder
-from tagmill.sources.readers import latest_by, read_csv, read_jsonlines, read_lines_with_key, read_tsv
+from tagmill.sources.readers import (
+    latest_by,
+    latest_snapshot,
+    line_key,
+    list_files,
+    read_csv,
+    read_jsonlines,
+    read_lines_with_key,
+    read_tsv,
+)
 from tagmill.sources.writers import (
     flat_items,
     route,
@@ -70,6 +80,24 @@ def test_route(spark):
     out = route(df, {"user": F.col("joindate").isNotNull(), "record": F.lit(True)})
     assert [r["uid"] for r in out["user"].collect()] == [1]
     assert [r["uid"] for r in out["record"].collect()] == [2]
+    assert out["rest"].count() == 0
+    some = route(df, {"user": F.col("joindate").isNotNull()}, rest="else")
+    assert [r["uid"] for r in some["else"].collect()] == [2]
+
+
+def test_dated_snapshots_are_found(spark, tmp_path):
+    for day, rows in ((1, 2), (2, 3)):
+        write_jsonlines(spark.range(rows), f"{tmp_path}/subject_archive", dt.date(2026, 12, day))
+    files = list_files(spark, str(tmp_path))
+    paths = [latest_snapshot(files, "subject", n).first()["path"] for n in (1, 2)]
+    assert [p.rsplit("=", 1)[-1] for p in paths] == ["2026_12_02", "2026_12_01"]
+    assert latest_snapshot(files, "subject", 3).count() == 0
+
+
+def test_keys_with_nulls_stay_apart(spark):
+    lines = spark.createDataFrame([('{"a": 1}',), ('{"b": 1}',), ("broken",), ('{"a": 1, "b": 2}',)], "line string")
+    keys = [r.k for r in lines.select(line_key(F.col("line"), ["a", "b"]).alias("k")).collect()]
+    assert keys == [None, None, None, "1_2"]
 
 
 def test_keyed_lines_and_diff(spark, tmp_path):
@@ -172,6 +200,13 @@ def test_whole_chain(spark, tmp_path):
     ranks = text_of(tmp_path / "out/customrank" / stamp).splitlines()
     assert ranks[0] == "name,rank_custom,rank_site,subjectname" and len(ranks) == 6
 
+    # The next night finds this night's subjects by itself.
+    night = dataclasses.replace(
+        paths, previous_subjects=None, previous_records=None, archive=lines("archive2", archive[:-1])
+    )
+    rows = run_pipeline(spark, night, AS_OF + dt.timedelta(days=1), tol=1e-2)
+    assert rows["subject_archive"] == 4 and rows["subject_del"] == 1
+
 
 def test_scratch_without_the_setting(spark, monkeypatch):
     import tagmill.session as session

@@ -180,9 +180,7 @@ def test_pairs_of_a_heavy_user(spark, block):
     assert met.count() == count
 
 
-def test_a_refused_user(spark):
+def test_items_left_out(spark):
     df = spark.createDataFrame([(1, i, 1) for i in range(5)], "user_order long, subject_id long, rate int")
-    assert co_rating_pairs(df, max_items_per_user=5).count() == 10
-    with pytest.raises(Exception, match="more than 4 items"):
-        co_rating_pairs(df, max_items_per_user=4).count()
+    assert co_rating_pairs(df).count() == 10
     assert co_rating_pairs(df, max_item_exclusive=3).count() == 3

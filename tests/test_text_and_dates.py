@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from tagmill.functions.dates import iso_date, parse_document_date, parse_site_date, stamp_date
 from tagmill.functions.infobox import infobox_subtype, infobox_type
 from tagmill.functions.text import (
+    convert_by_table,
     map_chars,
-    mapping_from,
     normalize_tag,
     slice_tokens,
     strip_controls,
@@ -41,8 +41,18 @@ def test_script_conversion(spark):
     found = values(spark, ["abcab", "cabx", "zz", None], lambda c: map_chars(c, phrases))
     assert found == ["21", "31", "zz", None]
     table = spark.createDataFrame([("畫", "画")], "a string, b string")
-    assert mapping_from(table) == {"畫": "画"}
-    assert values(spark, ["動畫"], lambda c: normalize_tag(c, mapping_from(table))) == ["動画"]
+    found = convert_by_table(spark.createDataFrame([(1, "動畫"), (2, None), (3, "")], "i int, t string"), "t", table, "a", "b")
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "動画"), (2, None), (3, "")]
+
+
+def test_conversion_by_table_equals_conversion_by_dict(spark):
+    phrases = {"ab": "1", "abc": "2", "c": "3", "x": "", "bcd": "9"}
+    table = spark.createDataFrame(list(phrases.items()), "source string, target string")
+    texts = ["abcab", "cabx", "zz", None, "", "abcd", "xxabcx", "abcab"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.t for r in convert_by_table(df, "t", table).orderBy("i").collect()]
+    assert got == values(spark, texts, lambda c: map_chars(c, phrases))
+    assert convert_by_table(df, "t", table.where("source = 'none'")).count() == len(texts)
 
 
 @pytest.mark.parametrize(
