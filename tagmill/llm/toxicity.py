@@ -175,12 +175,13 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> ToxicityModel:
 
 
 def _without_copies(texts: list[str]) -> list[str]:
-    """Texts without those that share half of their smallest word hashes with an earlier one: copies must not
-    pass for evidence."""
+    """Texts without those that share half of their smallest hashes of three words with an earlier one: copies
+    must not pass for evidence."""
     seen: dict[int, list[int]] = {}
     kept = []
     for text in texts:
-        marks = sorted({zlib.crc32(w) for w in _WORD.findall(text.lower().encode())})[:16]
+        words = text.lower().encode().split()
+        marks = sorted({zlib.crc32(b" ".join(words[i : i + 3])) for i in range(len(words))})[:16]
         met = Counter(i for mark in marks for i in seen.get(mark, ()))
         if marks and met and max(met.values()) * 2 >= len(marks):
             continue
