@@ -80,12 +80,26 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def by_value(values: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, and for each its places: all places in that order, and where each value's begin."""
+    order = np.argsort(values, kind="stable")
+    found, first = np.unique(values[order], return_index=True)
+    return found, places[order], first
+
+
+def _nested(firsts: list[np.ndarray], parts: list[np.ndarray], kind) -> pa.ListArray:
+    """Per distinct value of each text the list of its places, one after the other."""
+    sizes = np.cumsum([0, *map(len, parts)])
+    offsets = np.concatenate([*(f + a for f, a in zip(firsts, sizes)), [sizes[-1]]])
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int32), *parts]), kind))
+
+
 def _retain(passage: int):
     gram = passage // 2
 
     def retain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, sizes, places, suffixes = [], [], [], []
+            rows, sizes, places, firsts, suffixes = [], [], [], [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
                 words = words_of(text)
                 if len(words) >= passage:
@@ -93,11 +107,16 @@ def _retain(passage: int):
                     at = minimisers(grams, passage - gram + 1)
                     rows.append(k)
                     sizes.append(len(words))
-                    places.append(at.astype(np.int32))
-                    suffixes.append(grams[at].view(np.int64))
+                    found, ordered, first = by_value(grams[at], at.astype(np.int32))
+                    places.append(ordered)
+                    firsts.append(first)
+                    suffixes.append(found.view(np.int64))
             columns = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("id", "copy")]
-            columns += [pa.array(sizes, pa.int32()), pa.array(places, pa.list_(pa.int32()))]
-            columns += [pa.array(suffixes, pa.list_(pa.int64()))]
+            ends = pa.array(np.cumsum([0, *map(len, suffixes)]), pa.int32())
+            flat = np.concatenate([np.empty(0, np.int64), *suffixes])
+            columns += [pa.array(sizes, pa.int32())]
+            columns += [pa.ListArray.from_arrays(ends, _nested(firsts, places, pa.int32()))]
+            columns += [pa.ListArray.from_arrays(ends, pa.array(flat, pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "copy", "n_words", "places", "suffixes"])
 
     return retain
@@ -108,7 +127,7 @@ def _extend(passage: int):
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, starts, keys = [], [], []
+            rows, starts, firsts, keys = [], [], [], []
             seeds = batch.column("places").to_pylist()
             for k, text in enumerate(batch.column("text").to_pylist()):
                 stretch = gram_hashes(word_hashes(words_of(text)), passage)
@@ -117,15 +136,17 @@ def _extend(passage: int):
                 np.add.at(open_, np.maximum(places - (passage - gram), 0), 1)
                 np.add.at(open_, np.minimum(places + 1, len(stretch)), -1)
                 at = np.flatnonzero(np.cumsum(open_)[:-1] > 0)
-                rows.append(np.full(len(at), k))
-                starts.append(at)
-                keys.append(stretch[at])
+                found, ordered, first = by_value(stretch[at], at.astype(np.int32))
+                rows.append(np.full(len(found), k))
+                starts.append(ordered)
+                firsts.append(first)
+                keys.append(found)
             if rows:
-                rows, starts, keys = (np.concatenate(x) for x in (rows, starts, keys))
+                rows, keys = np.concatenate(rows), np.concatenate(keys)
                 columns = [batch.column("id").take(pa.array(rows)), batch.column("copy").take(pa.array(rows))]
                 columns += [batch.column("copied").take(pa.array(rows))]
-                columns += [pa.array(starts.astype(np.int32)), pa.array(keys.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "copy", "copied", "start", "stretch"])
+                columns += [_nested(firsts, starts, pa.int32()), pa.array(keys.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "copy", "copied", "starts", "stretch"])
 
     return extend
 
@@ -152,7 +173,7 @@ def _joined(passage: int):
 
 
 def _retained(rows: DataFrame, passage: int, kind: str, folder: str) -> DataFrame:
-    shape = f"id {kind}, copy long, n_words int, places array<int>, suffixes array<long>"
+    shape = f"id {kind}, copy long, n_words int, places array<array<int>>, suffixes array<long>"
     return written(rows.mapInArrow(_retain(passage), shape), f"{folder}/retained")
 
 
@@ -175,21 +196,34 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", pas
     copies = copies.select("copy", "owner", (F.col("owner") != F.col("last")).alias("copied"))
 
     suffixes = retained.select("id", "copy", F.explode(F.arrays_zip("places", "suffixes")).alias("s"))
-    suffixes = suffixes.select("id", "copy", F.col("s.places").alias("place"), F.col("s.suffixes").alias("suffix"))
-    again = suffixes.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("suffix")
-    seeds = suffixes.join(again, "suffix").groupBy("id", "copy").agg(F.collect_set("place").alias("places"))
+    # One row per text and suffix with all its places, so a text that repeats itself does not make a key hot.
+    suffixes = suffixes.select("id", "copy", F.col("s.places").alias("places"), F.col("s.suffixes").alias("suffix"))
+    again = suffixes.groupBy("suffix").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("suffix")
+    seeds = suffixes.join(again, "suffix").groupBy("id", "copy")
+    seeds = seeds.agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     seeds = seeds.join(copies, "copy").where(owner == F.col("owner"))
     seeds = written(seeds.select("id", "copy", "places", "copied"), f"{folder}/seeds")
 
     same = F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.copy") == F.col("r.copy"))
     seeded = rows.alias("l").join(seeds.alias("r"), same).select("l.id", "l.copy", "l.text", "r.places", "r.copied")
-    shape = f"id {kind}, copy long, copied boolean, start int, stretch long"
+    shape = f"id {kind}, copy long, copied boolean, starts array<int>, stretch long"
     found = written(seeded.mapInArrow(_extend(passage), shape), f"{folder}/stretches")
-    place = F.struct(F.col("id").isNull().alias("late"), "id", "copy", "start")
-    places = found.groupBy("stretch").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = found.join(places.where("first <> last"), "stretch").withColumn("kept", place == F.col("first"))
-    repeated = repeated.where("not (kept and copied)")  # copied texts are kept whole, below
-    starts = repeated.groupBy("id", "copy", "kept").agg(F.collect_set("start").alias("starts"))
+
+    def place(start):
+        return F.struct(F.col("id").isNull().alias("late"), "id", "copy", start.alias("start"))
+
+    first, last = place(F.array_min("starts")), place(F.array_max("starts"))
+    places = found.groupBy("stretch").agg(F.min(first).alias("first"), F.max(last).alias("last"))
+    repeated = found.join(places.where("first <> last"), "stretch")
+    own = F.when(first == F.col("first"), F.array_min("starts"))  # the place that is kept, if it is in this text
+    sides = repeated.groupBy("id", "copy", "copied").agg(
+        F.flatten(F.collect_list(F.filter("starts", lambda s: ~s.eqNullSafe(own)))).alias("more"),
+        F.collect_list(own).alias("kept"),
+    )
+    kept = sides.where("not copied").select("id", "copy", F.lit(True).alias("kept"), F.col("kept").alias("starts"))
+    more = sides.select("id", "copy", F.lit(False).alias("kept"), F.col("more").alias("starts"))
+    starts = kept.unionByName(more).where(F.size("starts") > 0)
+    starts = starts.withColumn("starts", F.array_distinct("starts"))
     spans = starts.mapInArrow(_joined(passage), f"id {kind}, copy long, kept boolean, begin int, end int")
     whole = retained.join(copies.where("copied"), "copy").select(
         "id", "copy", (owner == F.col("owner")).alias("kept"), F.lit(0).alias("begin"), F.col("n_words").alias("end")
