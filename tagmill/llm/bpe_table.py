@@ -19,6 +19,7 @@ from .encoders import WordEncoder, definition_of, pieces_by_id, release_memory
 
 BLOCK_CHARS = 24_000_000  # layout only: results do not depend on it
 _PACKED_ROWS = 1_000
+_BUNDLED_ROWS = 5_000
 _SPREAD = 3  # partitions per block, so that few blocks share a task
 
 
@@ -43,18 +44,23 @@ def packed_blocks(docs: DataFrame, key: str, text: str, blocks: int) -> DataFram
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch]).sort_by("block")
-            block = table["block"].to_numpy()
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else []
-            bundles = [
-                _packed(table.slice(a, b - a).select(["key", "text"]).combine_chunks().to_batches()[0])
-                for a, b in zip(cuts, cuts[1:])
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block[cuts[:-1]] if bundles else [], pa.int32()), pa.array(bundles, pa.binary())],
-                ["block", "rows"],
-            )
+        release_memory()  # of what an earlier task of this worker has left
+        for whole in batches:
+            yield from (bundled(whole.slice(a, _BUNDLED_ROWS)) for a in range(0, whole.num_rows, _BUNDLED_ROWS))
+            release_memory()
+
+    def bundled(batch: pa.RecordBatch) -> pa.RecordBatch:
+        table = pa.Table.from_batches([batch]).sort_by("block")
+        block = table["block"].to_numpy()
+        cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else []
+        bundles = [
+            _packed(table.slice(a, b - a).select(["key", "text"]).combine_chunks().to_batches()[0])
+            for a, b in zip(cuts, cuts[1:])
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[cuts[:-1]] if bundles else [], pa.int32()), pa.array(bundles, pa.binary())],
+            ["block", "rows"],
+        )
 
     return rows.mapInArrow(pack, "block int, rows binary").repartition(_SPREAD * blocks, "block")
 
@@ -91,6 +97,7 @@ def encoded_words(words: DataFrame, definition) -> DataFrame:
     """(block, word, ids): each distinct word is encoded once, whatever number of blocks named it."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         encoder = WordEncoder(definition.value)
         last, packed = None, b""
         for batch in batches:
