@@ -28,23 +28,29 @@ _SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # first bit and b
 _HALF = 6
 
 
-def text_fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
-    """64 bits, each set if it is set in over half of the shingles' XXH64 hashes (seed 42).
+def shingle_hashes(text: str, words: int = SHINGLE_WORDS) -> list[int]:
+    """XXH64 hashes (seed 42) of all shingles in order.
 
     ASCII letters are lower-cased; words are runs without ASCII white space; repeats count. Fewer words than a
-    shingle are one shingle, none give zero.
+    shingle are one shingle, none give no hash.
     """
     from xxhash import xxh64_intdigest
 
     found = text.encode().lower().split()
     if not found:
-        return 0
+        return []
     joined = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.r_[0, ends[:-1] + 1]
     number = max(1, len(found) - words + 1)
     ends = ends[min(words, len(found)) - 1 :]
-    hashes = [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts[:number].tolist(), ends.tolist())]
+    return [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts[:number].tolist(), ends.tolist())]
+
+
+def text_fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
+    """64 bits, each set if it is set in over half of the hashes of ``shingle_hashes``; no words give zero."""
+    hashes = shingle_hashes(text, words)
+    number = len(hashes)
     counts = np.zeros(64, np.int64)
     for a in range(0, number, 65_536):
         part = np.array(hashes[a : a + 65_536], "<u8").view(np.uint8).reshape(-1, 8)
@@ -173,7 +179,11 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Rows that share that key are one document: one of them stays. Rows without a key are never dropped.
     """
-    groups = simhash_components(docs, key, text, words)
+    return one_of_each(docs, simhash_components(docs, key, text, words), key)
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose key is the smallest of its component in ``groups`` (``key``, component_id)."""
     kept = groups.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     stay = docs.join(kept, key).select(*(docs[c] for c in docs.columns), "__rows")
     once = stay.where("__rows = 1").drop("__rows")

@@ -9,7 +9,8 @@ from helpers import DOCUMENTS, awkward, documents, rows_of
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tagmill.llm import binary_codes, simhash
+import corpus_pipeline
+from tagmill.llm import binary_codes, similar, simhash
 from tagmill.llm.binary_codes import near_vectors
 from tagmill.llm.graphs import components
 from tagmill.llm.simhash import chain_links, drop_near_duplicates, fingerprint_groups, simhash_components, text_fingerprint
@@ -211,3 +212,36 @@ def test_top_k(spark, monkeypatch):
 def test_empty_documents(spark):
     none = documents(spark).where("doc_id < 0")
     assert simhash_components(none).count() == 0 and drop_near_duplicates(none).count() == 0 and drop_repeats(none).count() == 0
+
+
+def test_near_copies_at_a_similarity_of_four_fifths(spark):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(30):
+        base = words(rng, 120)
+        texts.append(base)
+        for edits in (1, 2, 3, 4, 5, 8):  # up to far below the threshold
+            copy = list(base)
+            for at in rng.sample(range(120), edits):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            texts.append(copy)
+    sets = {i: {tuple(t[k : k + 5]) for k in range(116)} for i, t in enumerate(texts)}
+    near = [(i, j) for i in sets for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    trees = Sets(sets)
+    for i, j in near:
+        trees.join(i, j)
+    assert len(near) > 60
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)], DOCUMENTS)
+    got = {r.doc_id: r.component_id for r in similar.similar_components(docs).collect()}
+    assert got == {i: trees.find(i) for i in sets}
+    kept = {r.doc_id for r in corpus_pipeline.drop_copies(spark, docs, "").collect()}
+    assert kept == {trees.find(i) for i in sets}
+
+
+def test_near_copies_of_awkward_rows_and_large_groups(spark, monkeypatch):
+    kept = similar.drop_similar(awkward(spark))
+    assert [r.doc_id for r in kept.orderBy("doc_id").collect()] == [None, 1, 3, 6, 7, 8, 9, 10]
+    monkeypatch.setattr(similar, "TILE_ROWS", 8)
+    rng, base = random.Random(5), words(random.Random(6), 200)
+    texts = [" ".join(base[:k] + [f"y{rng.random()}"] + base[k + 1 :]) for k in range(60)]
+    assert similar.drop_similar(documents(spark, texts)).count() == 1
