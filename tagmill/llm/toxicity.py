@@ -1,8 +1,9 @@
 """Toxic texts by compression distance: which of two zstandard dictionaries shortens a text's windows more?
 
 Both dictionaries share a body of ordinary text; one ends with spans that set toxic training texts apart, the other
-with spans that set ordinary ones apart. A window's distance is its length under the ordinary dictionary
-less that under the toxic one. How far ordinary windows go is calibrated on texts that no dictionary has
+with spans that set ordinary ones apart. Windows are a few whole words and overlap by half. A window's distance is
+its length under the ordinary dictionary less that under the toxic one, less what ordinary windows of that length have.
+How far ordinary windows go is calibrated on texts that no dictionary has
 seen, and so are the weights and the cut that turn a text's distances into a score.
 """
 
@@ -23,21 +24,39 @@ from pyspark.sql import functions as F
 # everything that is scored is scored whole.
 SAMPLE_PER_CLASS = 2_500
 SAMPLE_BYTES = 32_768
-WINDOW = 96
+WINDOW_WORDS, WINDOW = 4, 96  # longer windows than so many bytes are cut again
 LEVEL = 9
 _BODY_BYTES, _SPAN_BYTES = 24_000, 4_000
 _SPAN_Z, _SPAN_TEXTS = 6.0, 3
-_ORDINARY_QUANTILE = 0.995
+_ORDINARY_QUANTILE = 0.999
 _FOLDS = 4
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
+# Every window begins with what both dictionaries end with: that match pays for the block's headers, so a single short
+# word shows in the length instead of leaving the block raw.
+_PRIME = bytes(range(1, 9)) + bytes(range(14, 32))
 
 
-def windows(text: str) -> list[bytes]:
-    """Consecutive windows of the whole lower-cased text; an empty text is one empty window."""
+def stretches(text: str) -> list[bytes]:
+    """Consecutive stretches of the whole lower-cased text; an empty text is one empty stretch."""
     data = text.lower().encode()
     return [data[a : a + WINDOW] for a in range(0, len(data), WINDOW)] or [b""]
 
 
+def windows(text: str) -> list[bytes]:
+    """Windows of ``WINDOW_WORDS`` whole words at every second word of the lower-cased text. Those with over ``WINDOW``
+    bytes are cut into pieces that overlap by half. A text without words is one empty window."""
+    data, step = text.lower().encode(), WINDOW_WORDS // 2
+    starts = [m.start() for m in re.finditer(rb"\S+", data)]
+    ends, out = [*starts[1:], len(data)], []
+    for i in range(0, max(1, len(starts) - step) if starts else 0, step):
+        window = data[starts[i] : ends[min(i + WINDOW_WORDS, len(starts)) - 1]]
+        if len(window) <= WINDOW:
+            out.append(window)
+        else:
+            out += [window[a : a + WINDOW] for a in range(0, len(window) - WINDOW // 2, WINDOW // 2)]
+    return out or [b""]
+
+
 def word_starts(text: str) -> set[bytes]:
     """All beginnings of 3 to 10 bytes of the words of a text, and the words that short."""
     words = set(_WORD.findall(text.lower().encode()))
@@ -78,6 +97,7 @@ class ToxicityModel:
     constant: float = 0.0
     toxic: bytes = b""
     ordinary: bytes = b""
+    expected: tuple[float, float] = (0.0, 0.0)
     bar: float = 0.0
     mean: np.ndarray = field(default_factory=lambda: np.zeros(0))
     scale: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -86,21 +106,29 @@ class ToxicityModel:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_engines"}
 
-    def distances(self, text: str) -> np.ndarray:
+    def lengths(self, text: str) -> np.ndarray:
+        """Of every window the length under the ordinary dictionary and how much less it is under the toxic one."""
         if "_engines" not in self.__dict__:
             self._engines = _engine(self.ordinary), _engine(self.toxic)
         ordinary, toxic = (e.compress for e in self._engines)
-        return np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(text)], float)
+        both = [(len(ordinary(w)), len(toxic(w))) for w in (_PRIME + b" " + w for w in windows(text))]
+        found = np.array(both, np.int32)
+        return np.c_[found[:, 0], found[:, 0] - found[:, 1]]
+
+    def distances(self, lengths: np.ndarray) -> np.ndarray:
+        return lengths[:, 1] - (self.expected[0] + self.expected[1] * lengths[:, 0])
 
     def features(self, distances: np.ndarray) -> list[float]:
         top = np.sort(distances)[::-1]
         over = distances > self.bar
-        return [distances.mean(), top[0], top[:3].mean(), math.log1p(over.sum()), over.mean(), math.log1p(len(top))]
+        beyond = math.log1p(np.maximum(top - self.bar, 0).sum())
+        shares = [math.log1p(over.sum()), over.mean(), math.log1p(len(top)), beyond]
+        return [distances.mean(), top[0], top[:3].mean(), top[:8].mean(), *shares]
 
     def scores(self, texts) -> np.ndarray:
         if not self.toxic:
             return np.full(len(texts), self.constant)
-        x = np.array([self.features(self.distances(t or "")) for t in texts]).reshape(len(texts), -1)
+        x = np.array([self.features(self.distances(self.lengths(t or ""))) for t in texts]).reshape(len(texts), -1)
         x = np.c_[np.ones(len(x)), (x - self.mean) / self.scale]
         return 1 / (1 + np.exp(-np.clip(x @ self.weights, -50, 50)))
 
@@ -126,13 +154,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _best_cut(logits: np.ndarray, y: np.ndarray, share: float) -> float:
-    """The cut with the highest F score if a ``share`` of texts is toxic; precision counts twice as much as recall."""
+    """The cut with the highest F score if a ``share`` of texts is toxic; precision and recall count alike."""
     best, cut = -1.0, 0.0
     values = np.unique(logits)
     for value in (values[1:] + values[:-1]) / 2 if len(values) > 1 else values:
         found = logits >= value
         hit, false = share * found[y == 1].mean(), (1 - share) * found[y == 0].mean()
-        score = 1.25 * hit / (hit + false + 0.25 * share)
+        score = 2 * hit / (hit + false + share)
         if score > best:
             best, cut = score, float(value)
     return cut
@@ -146,7 +174,7 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> ToxicityModel:
     if min(nt, no) < 2 * _FOLDS:
         return ToxicityModel(constant=share)
     rng = np.random.default_rng(0)
-    parts = [w for text in ordinary for w in rng.choice(np.array(windows(text), object), 3)]
+    parts = [w for text in ordinary for w in rng.choice(np.array(stretches(text), object), 3)]
     rng.shuffle(parts)
     body = b" ".join(parts)[:_BODY_BYTES]
     starts = counted_starts(toxic), counted_starts(ordinary)
@@ -155,18 +183,22 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> ToxicityModel:
         a, b = (sum((c for k, c in enumerate(starts[x]) if k != without), Counter()) for x in (own, 1 - own))
         sizes = [n - len(range(without, n, _FOLDS)) if without is not None else n for n in (nt, no)]
         spans = telling_spans(a, b, sizes[own], sizes[1 - own])
-        return body + b" " + b" ".join(reversed(spans)) + b" "  # near offsets are the cheapest: best ones last
+        return body + b" " + b" ".join(reversed(spans)) + b" " + _PRIME  # near offsets are the cheapest: best ones last
 
-    distances, y = [], []
+    lengths, y = [], []
     for fold in range(_FOLDS):
         part = ToxicityModel(toxic=content(0, fold), ordinary=content(1, fold))
         unseen = toxic[fold::_FOLDS] + ordinary[fold::_FOLDS]
-        distances += [part.distances(text) for text in unseen]
+        lengths += [part.lengths(text) for text in unseen]
         y += [1] * len(toxic[fold::_FOLDS]) + [0] * len(ordinary[fold::_FOLDS])
     y = np.array(y)
     model = ToxicityModel(toxic=content(0, None), ordinary=content(1, None))
-    model.bar = float(np.quantile(np.concatenate([d for d, c in zip(distances, y) if not c]), _ORDINARY_QUANTILE))
-    x = np.array([model.features(d) for d in distances])
+    known = np.concatenate([n for n, c in zip(lengths, y) if not c])
+    spread = float(known[:, 0].var())
+    slope = float(((known[:, 0] - known[:, 0].mean()) * known[:, 1]).mean()) / spread if spread else 0.0
+    model.expected = float(known[:, 1].mean() - slope * known[:, 0].mean()), slope
+    model.bar = float(np.quantile(model.distances(known), _ORDINARY_QUANTILE))
+    x = np.array([model.features(model.distances(n)) for n in lengths])
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     x = np.c_[np.ones(len(x)), (x - model.mean) / model.scale]
     model.weights = _logistic(x, y)

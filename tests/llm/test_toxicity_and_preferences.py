@@ -7,7 +7,7 @@ from helpers import DOCUMENTS, awkward
 from pyspark.sql import functions as F
 
 from tagmill.llm.preferences import conversation_turns, format_preferences, swapped_last_answers
-from tagmill.llm.toxicity import fit_toxicity, is_held_out, toxicity_score, with_toxicity
+from tagmill.llm.toxicity import WINDOW, fit_toxicity, is_held_out, toxicity_score, train, windows, with_toxicity
 
 TURNS = "conv_id long, turn long, role string, text string"
 
@@ -36,6 +36,32 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in scored)
 
 
+def test_windows_cut_no_word():
+    for n in range(1, 60):
+        text = [f"w{i}" + "a" * (i % 9) for i in range(n)]
+        found = windows(" ".join(text))
+        assert all(any(w.encode() in part.split() for part in found) for w in text)
+        assert all(any(f"{a} {b}".encode() in part for part in found) for a, b in zip(text, text[1:]))
+    long = windows("ab" * 500)
+    assert max(map(len, long)) <= WINDOW and all(a[WINDOW // 2 :] == b[: WINDOW // 2] for a, b in zip(long, long[1:-1]))
+    assert sum(map(len, long[::2])) >= 1_000 - WINDOW // 2 and windows(" \n") == windows("") == [b""]
+
+
+def test_few_short_marks_in_long_texts():
+    rng = random.Random(4)
+    parts = ("an", "the", "or", "wh", "st", "ing", "on", "at", "ed", "li", "er", "tion")
+
+    def text(marks):
+        found = ["".join(rng.choices(parts, k=rng.choice((1, 2, 3)))) for _ in range(300)]
+        for at in rng.sample(range(300), marks):
+            found[at] = rng.choice(("moruk", "zubidt", "glompf", "vuckix"))
+        return " ".join(found)
+
+    model = train([text(rng.choice((2, 4, 8))) for _ in range(150)], [text(0) for _ in range(500)], 0.2)
+    assert (model.scores([text(4) for _ in range(100)]) >= 0.5).mean() > 0.9
+    assert (model.scores([text(0) for _ in range(200)]) >= 0.5).mean() < 0.05
+
+
 def test_labels_of_held_out_rows_teach_nothing(spark):
     docs, labels = corpus(spark)
     turned = labels.withColumn("toxic", F.when(is_held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
