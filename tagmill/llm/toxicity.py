@@ -26,7 +26,8 @@ SAMPLE_PER_CLASS = 2_500
 SAMPLE_BYTES = 32_768
 WINDOW_WORDS, WINDOW = 4, 96  # longer windows than so many bytes are cut again
 LEVEL = 9
-_BODY_BYTES, _SPAN_BYTES = 24_000, 4_000
+# Each dictionary: so many bytes of ordinary text at most that both share, and so many of spans of its own. Documented bounds.
+BODY_BYTES, SPAN_BYTES = 24_000, 4_000
 _SPAN_Z, _SPAN_TEXTS = 6.0, 3
 _ORDINARY_QUANTILE = 0.999
 _FOLDS = 4
@@ -83,7 +84,7 @@ def telling_spans(a: Counter, b: Counter, na: int, nb: int) -> list[bytes]:
     ranked = sorted((-v, -len(s), s) for s in a if a[s] >= _SPAN_TEXTS and (v := z(s)) >= bar)
     chosen: list[bytes] = []
     for _, _, span in ranked:
-        if sum(map(len, chosen)) + len(span) > _SPAN_BYTES:
+        if sum(map(len, chosen)) + len(span) > SPAN_BYTES:
             break
         if not any(span.startswith(c) or c.startswith(span) for c in chosen):
             chosen.append(span)
@@ -176,7 +177,7 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> ToxicityModel:
     rng = np.random.default_rng(0)
     parts = [w for text in ordinary for w in rng.choice(np.array(stretches(text), object), 3)]
     rng.shuffle(parts)
-    body = b" ".join(parts)[:_BODY_BYTES]
+    body = b" ".join(parts)[:BODY_BYTES]
     starts = counted_starts(toxic), counted_starts(ordinary)
 
     def content(own: int, without: int | None) -> bytes:
