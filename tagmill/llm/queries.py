@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from .automaton import token_counts
 from .binary_codes import near_vectors
 from .bpe_table import decode_ids, encode_by_table, vocabulary
+from .mixing import mix_sources
 from .packing import pack_documents
+from .periods import periodic_runs, strongest
 from .preferences import conversation_turns, format_preferences, swapped_last_answers
 from .records import token_records
 from .simhash import simhash_components
 from .suffixes import repeated_spans
 from .topk import top_k
 from .toxicity import is_held_out, with_toxicity
+from .variants import SHORTEST, letter_runs, spelling_variants
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -179,3 +185,97 @@ def op10_preferences(spark, sf):
         "conv_id", "common_turns", "prompt", "chosen_text", "rejected_text",
         listed("chosen_spans").alias("chosen_spans"), listed("rejected_spans").alias("rejected_spans"),
     )
+
+
+def slipped(key, run):
+    """The run of letters, or the run without one letter, as the checksum of key and run says."""
+    mark = F.crc32(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), run))
+    at = (mark % F.length(run)).cast("int")
+    cut = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
+    return F.when(mark % 31 == 0, cut).otherwise(run)
+
+
+SQL["op11_spelling_variants"] = """
+    WITH RECURSIVE crc AS (
+      SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i:
+             CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+    run AS (
+      SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+      WHERE length(run) >= 7 GROUP BY ALL),
+    marked AS (
+      SELECT run, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+          lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c) - 64] END))),
+        lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1]))) AS h
+      FROM run, crc),
+    word AS (
+      SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT n, CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM marked)
+      WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    cut AS (SELECT word, i, word[1:i - 1] || word[i + 1:] AS rest FROM word, unnest(range(1, length(word) + 1)) AS u(i)),
+    near AS (
+      SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT cut.word, w.word FROM cut JOIN word w ON cut.rest = w.word
+      UNION SELECT w.word, cut.word FROM cut JOIN word w ON cut.rest = w.word),
+    best AS (
+      SELECT near.word, count(*) AS n_near, arg_min(near, (-w.n, near)) AS form, max(w.n) AS form_n
+      FROM near JOIN word w ON w.word = near GROUP BY near.word),
+    formed AS (
+      SELECT word.word, n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+      FROM word LEFT JOIN best ON best.word = word.word),
+    way AS (
+      SELECT word, word AS root, form AS further FROM formed
+      UNION ALL SELECT way.word, formed.word, formed.form FROM way JOIN formed ON formed.word = way.further)
+    SELECT formed.word, form, root, n, n_near, form_n
+    FROM formed JOIN way ON way.word = formed.word AND way.further IS NULL"""
+
+
+@query
+def op11_spelling_variants(spark, sf):
+    runs = table(spark, sf, "documents").select("doc_id", F.explode(letter_runs("text")).alias("run"))
+    words = runs.where(F.length("run") >= SHORTEST).select(slipped("doc_id", F.col("run")).alias("word"))
+    counts = words.where(F.length("word") >= SHORTEST).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+    return spelling_variants(counts)
+
+
+def planted_period(key: str | None, text: str | None) -> str | None:
+    """The text; those whose keys the contract names end in repeats of some of their words."""
+    mark = 1 if key is None else crc32(key.encode())
+    words = text.encode().split() if text and mark % 10 == 0 else []
+    if not words:
+        return text
+    turn, n = mark // 10, len(words)
+    first = turn % n
+    period = 1 + (n - first) // (3 + turn % 8)
+    return b" ".join(words[:first] + [words[first + i % period] for i in range(n - first)]).decode()
+
+
+@query
+def op12_periodic_runs(spark, sf):
+    @F.pandas_udf("string")
+    def planted(keys: pd.Series, texts: pd.Series) -> pd.Series:
+        return pd.Series([planted_period(k, t) for k, t in zip(keys, texts)], dtype=object)
+
+    docs = table(spark, sf, "documents")
+    docs = docs.select("doc_id", planted(F.col("doc_id").cast("string"), "text").alias("text"))
+    found = periodic_runs(docs).withColumn("best", strongest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_mixed_sources(spark, sf):
+    taken = mix_sources(table(spark, sf, "documents")).taken()
+    return taken.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
