@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tagmill.session import scratch_folder, written
 
 
-def spread_cells(rows: DataFrame, keys: list[str], by: str, size: int) -> DataFrame:
+def spread_cells(rows: DataFrame, keys: list[str], by: str, size: int, folder: str | None = None) -> DataFrame:
     """Adds ``tile``, ``low`` and ``high``: groups of ``keys`` with over ``size`` rows are cut into tiles, and every
     two tiles meet in the cell (low, high), each tile also with itself. Small groups are one cell.
 
     Rows of a large group are repeated once per tile, so no task ever holds more than two tiles and no pair is
-    missed. Which groups are large is counted first; their list is joined, not broadcast by force.
+    missed. Which groups are large is counted first; their list is joined, not broadcast by force. With a ``folder`` the
+    list is stored there, so that Spark knows its size before it plans the join.
     """
     large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
     large = large.select(*keys, F.ceil(F.col("_n") / size).cast("int").alias("_tiles"))
+    large = written(large, folder) if folder else large
     tiles = F.coalesce("_tiles", F.lit(1))
     spread = rows.join(large, keys, "left").withColumn("tile", F.pmod(F.xxhash64(by), tiles).cast("int"))
     other = F.explode(F.sequence(F.lit(0), tiles - 1))
@@ -26,6 +31,36 @@ def spread_cells(rows: DataFrame, keys: list[str], by: str, size: int) -> DataFr
     return spread.withColumns({"low": low, "high": high}).drop("_other")
 
 
+def whole_cells(batches: Iterator[pa.RecordBatch], names: list[str], rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole cells, at least ``rows`` rows each but the last, and the number of each row's cell.
+
+    A cell is the rows that agree in the numbers ``names``; the partition is sorted by them. At most one cell
+    more than asked for is held.
+    """
+
+    def numbered(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        for name in names:
+            values = table[name].to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return np.cumsum(new)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        cell = numbered(table)
+        done = int(np.searchsorted(cell, cell[-1]))
+        if done:
+            yield table.slice(0, done), cell[:done]
+        held = table.slice(done).combine_chunks().to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, numbered(table)
+
+
 class Forest:
     """Joins members of one batch; ``root`` is the first member of each one's tree so far."""
 

@@ -12,6 +12,7 @@ After Arasu, Ganti and Kaushik, *Efficient exact set-similarity joins* (2006), w
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -19,17 +20,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tagmill.session import scratch_folder, written
+from tagmill.session import scratch_folder, shuffle_partitions, written
 
-from .graphs import spread_cells
+from .graphs import spread_cells, whole_cells
 
 LETTERS = "[A-Za-z\\u00C0-\\u00FF]+"
 SHORTEST = 7
 TIMES = 10
-PARTS = 8
-TILE_ROWS = 1_024  # layout only
+PARTS = 5
+TILE_ROWS = 4_096  # layout only
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_ALL = 0xFFFFFFFFFFFFFFFF
 
 
 def letter_runs(text: Column | str) -> Column:
@@ -38,74 +38,97 @@ def letter_runs(text: Column | str) -> Column:
     return F.coalesce(F.regexp_extract_all(lowered, F.lit(LETTERS), F.lit(0)), F.array().cast("array<string>"))
 
 
-def _mixed(x: int) -> int:
-    """A 64-bit number from another, all bits of which depend on all of that."""
-    x = (x + 0x9E3779B97F4A7C15) & _ALL  # fixed values: a published mixing function
-    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _ALL
-    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _ALL
-    return x ^ (x >> 31)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers from others, all bits of which depend on all of those."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)  # fixed values: a published mixing function
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def letter_vector(word: str, parts: int = PARTS) -> list[int]:
-    """What each part holds of the word's letter multiset: the exclusive or of its dimensions' hashes."""
-    held, seen = [0] * parts, {}
-    for letter in word:
-        seen[letter] = seen.get(letter, 0) + 1
-        dimension = _mixed(ord(letter) << 40 | seen[letter])
-        held[dimension % parts] ^= _mixed(dimension)
-    return held
+@cache
+def _dimension(letter: str, occurrence: int, parts: int) -> tuple[int, int, int]:
+    """The part of a dimension, its hash, and the bit of the sketch that it turns."""
+    first = _mixed(np.array([ord(letter) << 40 | occurrence], np.uint64))
+    return int(first[0]) % parts, int(_mixed(first)[0]), 1 << (int(first[0]) >> 58)
 
 
-def signatures(word: str, parts: int = PARTS) -> list[int]:
-    """One signed 64-bit number for each choice of two parts to leave out."""
-    held = letter_vector(word, parts)
-    whole = 0
-    for part in held:
-        whole ^= part
-    left = combinations(range(parts), 2)
-    keys = [_mixed((whole ^ held[a] ^ held[b]) + n * 0xD6E8FEB86659FD93 & _ALL) for n, (a, b) in enumerate(left)]
-    return [k - (1 << 64) if k >> 63 else k for k in keys]
+def letter_vectors(words: list[str], parts: int = PARTS) -> tuple[np.ndarray, np.ndarray]:
+    """What each part holds of every word's letter multiset, the exclusive or of its dimensions' hashes; and sketches of 64
+    bits, each the parity of the dimensions dealt to it: vectors that differ in two dimensions differ in two bits at most."""
+    rows, sketches = [], []
+    for word in words:
+        held, sketch, seen = [0] * parts, 0, {}
+        for letter in word:
+            seen[letter] = number = seen.get(letter, 0) + 1
+            part, mark, bit = _dimension(letter, number, parts)
+            held[part] ^= mark
+            sketch ^= bit
+        rows.append(held)
+        sketches.append(sketch)
+    return np.array(rows, np.uint64).reshape(len(words), parts), np.array(sketches, np.uint64)
 
 
-def _sketch(word: str) -> int:
-    """64 bits, each the parity of the dimensions dealt to it: vectors that differ in two dimensions differ in two bits."""
-    bits, seen = 0, {}
-    for letter in word:
-        seen[letter] = seen.get(letter, 0) + 1
-        bits ^= 1 << (_mixed(ord(letter) << 40 | seen[letter]) >> 58)
-    return bits - (1 << 64) if bits >> 63 else bits
+def signatures(held: np.ndarray) -> np.ndarray:
+    """By row of ``letter_vectors`` one number for each choice of two parts to leave out."""
+    whole = np.bitwise_xor.reduce(held, axis=1)
+    left = combinations(range(held.shape[1]), 2)
+    with np.errstate(over="ignore"):
+        keys = [_mixed((whole ^ held[:, a] ^ held[:, b]) + np.uint64(n << 57)) for n, (a, b) in enumerate(left)]
+    return np.stack(keys, axis=1)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words = batch.column("word").to_pylist()
-        keys = np.array([signatures(w) for w in words], np.int64).reshape(len(words), -1)
-        ends = pa.array(np.arange(len(words) + 1, dtype=np.int32) * keys.shape[1])
-        lists = pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1)))
+        held, sketches = letter_vectors(batch.column("word").to_pylist())
+        keys = signatures(held)
+        ends = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1])
+        lists = pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1).view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array([_sketch(w) for w in words], pa.int64()), lists], ["word", "n", "sketch", "signatures"]
+            [*batch.columns, pa.array(sketches.view(np.int64)), lists], ["word", "n", "sketch", "signatures"]
         )
 
 
-def near_words(words: DataFrame) -> DataFrame:
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of one cell whose lengths differ by one at most and whose sketches by two bits at most.
+
+    Cells are sorted by length, so a word meets the following ones until they are too long for it.
+    """
+    for table, cell in whole_cells(batches, ["key", "low", "high"], 16 * TILE_ROWS):
+        table = table.combine_chunks()
+        sketch, size = table["sketch"].to_numpy().view(np.uint64), table["size"].to_numpy()
+        tile, across = table["tile"].to_numpy(), table["low"].to_numpy() != table["high"].to_numpy()
+        at, step = np.arange(table.num_rows), 0
+        while True:
+            step += 1
+            at = at[at + step < table.num_rows]
+            at = at[(cell[at] == cell[at + step]) & (size[at + step] - size[at] <= 1)]
+            if not len(at):
+                break
+            near = at[np.bitwise_count(sketch[at] ^ sketch[at + step]) <= 2]
+            near = near[~across[near] | (tile[near] != tile[near + step])]
+            if len(near):
+                a, b = table.take(pa.array(near)).combine_chunks(), table.take(pa.array(near + step)).combine_chunks()
+                pairs = [x[c].combine_chunks() for x in (a, b) for c in ("word", "n")]
+                yield pa.RecordBatch.from_arrays(pairs, ["word", "n", "near", "near_n"])
+
+
+def near_words(words: DataFrame, folder: str) -> DataFrame:
     """(word, n, near, near_n): all ordered pairs of the distinct ``word`` that one edit of a code point turns into each other."""
-    signed = words.select("word", "n").mapInArrow(_signed, "word string, n long, sketch long, signatures array<long>")
+    shape = "word string, n long, sketch long, signatures array<long>"
+    signed = written(words.select("word", "n").mapInArrow(_signed, shape), f"{folder}/signed")
     rows = signed.select(F.explode("signatures").alias("key"), "word", "n", "sketch", F.length("word").alias("size"))
-    cells = spread_cells(rows, ["key"], "word", TILE_ROWS)
-    ours, theirs = cells.alias("l"), cells.alias("r")
-    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("key", "low", "high")]
-    met = (F.col("l.low") == F.col("l.high")) | (F.col("l.tile") != F.col("r.tile"))
-    close = F.abs(F.col("l.size") - F.col("r.size")) <= 1
-    vector = F.bit_count(F.col("l.sketch").bitwiseXOR(F.col("r.sketch"))) <= 2
-    once = F.col("l.word") < F.col("r.word")
-    edit = F.levenshtein("l.word", "r.word", 1) == 1
-    joined = ours.join(theirs, same[0] & same[1] & same[2] & met & close & vector & once & edit)
-    pairs = joined.select(
-        F.col("l.word").alias("word"), F.col("l.n").alias("n"), F.col("r.word").alias("near"), F.col("r.n").alias("near_n")
-    ).distinct()
-    return pairs.unionByName(
-        pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    cells = spread_cells(rows, ["key"], "word", TILE_ROWS, f"{folder}/large")
+    place = ["key", "low", "high"]
+    dealt = cells.repartition(shuffle_partitions(words.sparkSession), *place).sortWithinPartitions(*place, "size")
+    met = dealt.select(*place, "tile", "word", "n", "sketch", "size").mapInArrow(
+        _candidates, "word string, n long, near string, near_n long"
+    )
+    pairs = met.where(F.levenshtein("word", "near", 1) == 1)
+    one, other = F.struct("word", "n", "near", "near_n"), F.struct(
+        F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")
     )
+    return pairs.select(F.explode(F.array(one, other)).alias("pair")).select("pair.*").distinct()
 
 
 def spelling_variants(words: DataFrame, times: int = TIMES) -> DataFrame:
@@ -120,7 +143,7 @@ def spelling_variants(words: DataFrame, times: int = TIMES) -> DataFrame:
     spark = words.sparkSession
     folder = scratch_folder(spark, "variants")
     counted = written(words.select("word", F.col("n").cast("long").alias("n")), f"{folder}/words")
-    near = near_words(counted)
+    near = near_words(counted, folder)
     best = near.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("first")
     )

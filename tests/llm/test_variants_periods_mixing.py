@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from tagmill.llm import queries
 from tagmill.llm.mixing import mix_sources, mixed_texts, permuted
 from tagmill.llm.periods import periodic_runs, runs_of, word_numbers
-from tagmill.llm.variants import letter_runs, letter_vector, near_words, signatures, spelling_variants
+from tagmill.llm.variants import letter_runs, letter_vectors, near_words, signatures, spelling_variants
 
 
 # --------------------------------------------------------------------------- periodic runs
@@ -142,13 +142,13 @@ def test_variants_equal_brute_force(spark, letters):
     assert sum(r[2] != r[1] for r in got if r[1]) > 0  # chains of forms
 
 
-def test_large_signature_groups_are_tiled(spark, monkeypatch):
+def test_large_signature_groups_are_tiled(spark, monkeypatch, tmp_path):
     from tagmill.llm import variants
 
     monkeypatch.setattr(variants, "TILE_ROWS", 8)
     counts = varied(random.Random(6), "abc", 50)
     words = spark.createDataFrame(list(counts.items()), "word string, n long")
-    got = {(r["word"], r["near"]) for r in near_words(words).collect()}
+    got = {(r["word"], r["near"]) for r in near_words(words, str(tmp_path)).collect()}
     assert got == {(a, b) for a in counts for b in counts if one_edit(a, b)}
 
 
@@ -157,8 +157,11 @@ def test_large_signature_groups_are_tiled(spark, monkeypatch):
 def test_words_one_edit_apart_share_a_signature(word, data):
     at, letter = data.draw(st.integers(0, len(word) - 1)), data.draw(st.sampled_from("abcdé"))
     for other in (word[:at] + word[at + 1 :], word[:at] + letter + word[at:], word[:at] + letter + word[at + 1 :]):
-        assert set(signatures(word)) & set(signatures(other))
-    assert letter_vector(word) == letter_vector(word[::-1])
+        held, sketch = letter_vectors([word, other])
+        assert (signatures(held)[0] == signatures(held)[1]).any()
+        assert int(sketch[0] ^ sketch[1]).bit_count() <= 2
+    held, sketch = letter_vectors([word, word[::-1]])
+    assert (held[0] == held[1]).all() and sketch[0] == sketch[1]
 
 
 def plain_words(rows):
