@@ -4,7 +4,7 @@ A word is a binary vector with a dimension for every letter and occurrence ("ban
 inserted, deleted or replaced letter changes at most two dimensions. Dimensions are dealt into ``PARTS`` parts
 by hash; two vectors that differ in at most two dimensions agree in all but two parts, so every choice of
 two parts to leave out gives one signature, the hash of what the others hold, and such words share at least one. Words meet by
-signature in a join; the candidates' vectors and then the words themselves are compared.
+signature; sketches of the letter pairs and then the words themselves are compared.
 
 After Arasu, Ganti and Kaushik, *Efficient exact set-similarity joins* (2006), with one level of partitions.
 """
@@ -47,25 +47,33 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _dimension(letter: str, occurrence: int, parts: int) -> tuple[int, int, int]:
-    """The part of a dimension, its hash, and the bit of the sketch that it turns."""
+def _dimension(letter: str, occurrence: int, parts: int) -> tuple[int, int]:
+    """The part of a dimension and its hash."""
     first = _mixed(np.array([ord(letter) << 40 | occurrence], np.uint64))
-    return int(first[0]) % parts, int(_mixed(first)[0]), 1 << (int(first[0]) >> 58)
+    return int(first[0]) % parts, int(_mixed(first)[0])
+
+
+@cache
+def _pair_bit(first: str, second: str) -> int:
+    """The bit of a sketch that two neighbouring letters turn; an empty string is the word's end."""
+    code = ord(first or "\0") << 32 | ord(second or "\0")
+    return 1 << (int(_mixed(np.array([code], np.uint64))[0]) >> 58)
 
 
 def letter_vectors(words: list[str], parts: int = PARTS) -> tuple[np.ndarray, np.ndarray]:
     """What each part holds of every word's letter multiset, the exclusive or of its dimensions' hashes; and sketches of 64
-    bits, each the parity of the dimensions dealt to it: vectors that differ in two dimensions differ in two bits at most."""
+    bits, each the parity of the pairs of neighbouring letters dealt to it: one edit changes four pairs and bits at most."""
     rows, sketches = [], []
     for word in words:
-        held, sketch, seen = [0] * parts, 0, {}
+        held, sketch, seen, last = [0] * parts, 0, {}, ""
         for letter in word:
             seen[letter] = number = seen.get(letter, 0) + 1
-            part, mark, bit = _dimension(letter, number, parts)
+            part, mark = _dimension(letter, number, parts)
             held[part] ^= mark
-            sketch ^= bit
+            sketch ^= _pair_bit(last, letter)
+            last = letter
         rows.append(held)
-        sketches.append(sketch)
+        sketches.append(sketch ^ _pair_bit(last, ""))
     return np.array(rows, np.uint64).reshape(len(words), parts), np.array(sketches, np.uint64)
 
 
@@ -90,7 +98,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one cell whose lengths differ by one at most and whose sketches by two bits at most.
+    """Pairs of one cell whose lengths differ by one at most and whose sketches by four bits at most.
 
     Cells are sorted by length, so a word meets the following ones until they are too long for it.
     """
@@ -105,7 +113,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = at[(cell[at] == cell[at + step]) & (size[at + step] - size[at] <= 1)]
             if not len(at):
                 break
-            near = at[np.bitwise_count(sketch[at] ^ sketch[at + step]) <= 2]
+            near = at[np.bitwise_count(sketch[at] ^ sketch[at + step]) <= 4]
             near = near[~across[near] | (tile[near] != tile[near + step])]
             if len(near):
                 a, b = table.take(pa.array(near)).combine_chunks(), table.take(pa.array(near + step)).combine_chunks()
