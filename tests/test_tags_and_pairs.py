@@ -1,13 +1,17 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tagmill.operators.numbering import numbered
+
 from tagmill.operators.pairs import co_rating_pairs, compare_items, compare_pairs, user_cdf
 from tagmill.operators.skew import fan_out, heavy_keys, spread
 from tagmill.operators.tags import tag_confidence, tag_edges, tag_rows, tag_table, user_authority
 from tagmill.schemas import COLLECTIONS, LONG, struct
+from tagmill.session import written
 
 
 def collections(spark, rows):
@@ -72,18 +76,75 @@ def random_edges(seed=1, users=30, hubs=12, rows=200, hot=0):
 def test_authority_settles_like_brute_force(spark, hot):
     edges = random_edges(hot=hot)
     df = spark.createDataFrame(edges, "user_id string, subject_id long, tags_normalized string, n long")
-    found = {r["user_id"]: r["score"] for r in user_authority(df).collect()}
-    expected = brute_authority(edges)
+    found = {r["user_id"]: r["score"] for r in user_authority(df, tol=1e-12).collect()}
+    expected = brute_authority(edges, tol=1e-16)
     assert set(found) == set(expected)
     assert sum(found.values()) == pytest.approx(1)
     assert all(found[u] == pytest.approx(expected[u], abs=1e-9) for u in found)
-    hubs = {r["subject_id"]: r for r in tag_confidence(df).collect()}
+    hubs = {r["subject_id"]: r for r in tag_confidence(df, tol=1e-12).collect()}
     for h in {e[1] for e in edges}:
         assert hubs[h]["tagnorm_cnt"] == sum(e[3] for e in edges if e[1] == h)
         total = sum(e[3] * expected[e[0]] for e in edges if e[1] == h)
         assert hubs[h]["confidence"] == pytest.approx(total, abs=1e-9)
 
 
+def dense_authority(edges):
+    users, hubs = sorted({e[0] for e in edges}), sorted({e[1:3] for e in edges})
+    counts = np.zeros((len(users), len(hubs)))
+    for u, s, t, n in edges:
+        counts[users.index(u), hubs.index((s, t))] += n
+    main = np.abs(np.linalg.eigh(counts @ counts.T)[1][:, -1])
+    return dict(zip(users, main / main.sum()))
+
+
+def grouped_edges(size, joined, seed=4):
+    """Two groups of users with their own hubs and, if ``joined``, one shared tag."""
+    chance, rows = random.Random(seed), []
+    for g in "ab":
+        for i in range(size):
+            rows += [(f"{g}{i}", h, g, chance.randint(1, 3)) for h in chance.sample(range(60), 5)]
+    return rows + ([("a0", 0, "shared", 1), ("b0", 0, "shared", 1)] if joined else [])
+
+
+@pytest.mark.parametrize("joined", [True, False])
+def test_authority_of_two_groups_settles_in_few_rounds(spark, joined):
+    """Plain rounds need thousands here, or stop far from the vector."""
+    edges, rounds = grouped_edges(300, joined), []
+    df = spark.createDataFrame(edges, "user_id string, subject_id long, tags_normalized string, n long")
+    found = {r["user_id"]: r["score"] for r in user_authority(df, tol=1e-9, rounds=rounds).collect()}
+    expected = dense_authority(edges)
+    assert all(found[u] == pytest.approx(expected[u], rel=1e-4, abs=1e-7 * max(expected.values())) for u in expected)
+    assert rounds[-1] <= 1e-9 and len(rounds) < 60
+
+
+def test_rounds_carry_numbers_only(spark, monkeypatch):
+    """No text in what a round writes; keys may have any names, also those used inside."""
+    from tagmill.operators import tags
+
+    stored = []
+
+    def spy(df, path, *rest):
+        stored.append((path.rsplit("/", 1)[1], df.schema, df._jdf.queryExecution().toString()))
+        return written(df, path, *rest)
+
+    monkeypatch.setattr(tags, "written", spy)
+    rows = [(u, s, t, n) for u, s, t, n in random_edges()]
+    df = spark.createDataFrame(rows, "user string, hub long, name string, n long")
+    found = tag_confidence(df, "user", "hub", "name", tol=1e-12)
+    assert found.columns == ["hub", "name", "confidence", "tagnorm_cnt"] and found.count() > 5
+    rounds = [(schema, plan) for name, schema, plan in stored if name.startswith("scores-")]
+    assert rounds and all("string" not in schema.simpleString() and "name#" not in plan for schema, plan in rounds)
+
+
+def test_numbers_are_dense(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 301).alias("a"), F.lit(None).cast("string").alias("b"))
+    found, size = numbered(df, ["a", "b"], "number", f"{tmp_path}/n")
+    rows = found.collect()
+    assert size == 301 and sorted(r["number"] for r in rows) == list(range(301)) and len({r["a"] for r in rows}) == 301
+    none, size = numbered(df.where("a < 0"), ["a"], "number", f"{tmp_path}/none")
+    assert size == 0 and none.collect() == []
+
+
 def test_no_edges(spark):
     df = spark.createDataFrame([], "user_id string, subject_id long, tags_normalized string, n long")
     assert user_authority(df).count() == 0
