@@ -129,3 +129,15 @@ def test_addresses(spark):
 def test_token_slice(spark):
     found = values(spark, [" tags: a b ", "x", "a b c"], slice_tokens)
     assert found == [["a", "b"], [], []]
+
+
+def test_words_in_brackets_of_any_length(spark):
+    texts = {"2009-4-5 12:30 (Sunday)": "2009-04-05", "2009年4月（" + "春" * 40 + "）": "2009-04-30", "(x) May 2010 7:05": "2010-05-31"}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", iso_date(parse_document_date("t", dt.date(2020, 2, 29))).alias("d")).collect()
+    assert {r["t"]: r["d"] for r in got} == texts
+
+
+def test_a_date_is_read_by_one_search(spark):
+    plan = spark.createDataFrame([("x",)], "t string").select(parse_site_date("t").alias("d"))._jdf.queryExecution().toString()
+    assert plan.split("Physical Plan")[1].count("regexp_extract(") == 1
