@@ -142,7 +142,7 @@ def _rendered_sql(turns: str) -> str:
 
 
 def _spans_sql(turns: str) -> str:
-    size = "length(t.role) + length(t.text) + 24"
+    size = "coalesce(length(t.role), 0) + coalesce(length(t.text), 0) + 24"
     return f"""coalesce(list_aggregate(list_filter(list_transform({turns}, lambda t, i:
         CASE WHEN t.role = 'assistant' THEN
           CAST(coalesce(list_sum(list_transform({turns}[1:i - 1], lambda t: {size})), 0) + 22 AS BIGINT) || '-' ||
@@ -152,9 +152,9 @@ def _spans_sql(turns: str) -> str:
 
 SQL["op10_preferences"] = f"""
     WITH conv AS (
-      SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn, role, text) AS turns,
+      SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns,
              max(CASE WHEN role = 'assistant' THEN n END) AS last
-      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations)
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n FROM conversations)
       GROUP BY conv_id),
     pair AS (
       SELECT a.conv_id,

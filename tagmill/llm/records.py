@@ -8,6 +8,7 @@ shifted by a constant, so that records which hold records keep telling checksums
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -56,7 +57,7 @@ def opened(folder: str):
     """The file system and path of a folder that tasks write to or read from."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+    return fs.FileSystem.from_uri(folder) if re.match("[A-Za-z][A-Za-z0-9+.-]*:/", folder) else (fs.LocalFileSystem(), folder)
 
 
 def write_records(

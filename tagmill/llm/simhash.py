@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagmill.session import scratch_folder, written
@@ -183,9 +184,14 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of its component in ``groups`` (``key``, component_id)."""
-    kept = groups.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    stay = docs.join(kept, key).select(*(docs[c] for c in docs.columns), "__rows")
-    once = stay.where("__rows = 1").drop("__rows")
-    repeated = stay.where("__rows > 1").drop("__rows").dropDuplicates([key])
+    """The rows of ``docs`` whose key is the smallest of its component in ``groups`` (``key``, component_id).
+
+    Of rows that share such a key the one with the smallest hash of all columns stays.
+    """
+    kept = groups.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    met = docs.alias("d").join(kept.alias("k"), F.col(f"d.{key}") == F.col("k.key"))
+    stay = met.select(F.struct("d.*").alias("row"), F.col("k.n").alias("n"))
+    once = stay.where("n = 1").select("row.*")
+    order = W.partitionBy(F.col("row")[key]).orderBy(F.xxhash64("row"))
+    repeated = stay.where("n > 1").withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*")
     return once.unionByName(repeated).unionByName(docs.where(F.col(key).isNull()))

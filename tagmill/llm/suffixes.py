@@ -244,11 +244,10 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", passage: int = PASSAGE_WORDS) -> DataFrame:
     """All rows and columns of ``docs``; from the texts, spans that aren't kept are cut. Nothing else changes; a text that is
-    one such span becomes empty."""
+    one such span becomes empty. Null and repeated keys are rows like others; rows that agree in key and text are cut alike."""
     spans = repeated_spans(docs, key, text, passage).where("not kept")
-    listed = spans.groupBy("id", "copy").agg(F.collect_list(F.struct("begin", "end")).alias("__spans"))
-    listed = listed.select(F.col("id").alias("__id"), F.col("copy").alias("__copy"), "__spans")
-    same = docs[key].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__copy"))
+    listed = spans.groupBy("id", "copy").agg(F.collect_list(F.struct("begin", "end")).alias("spans")).alias("s")
+    same = F.col(f"d.{key}").eqNullSafe(F.col("s.id")) & (F.xxhash64(f"d.{text}") == F.col("s.copy"))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -256,5 +255,6 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", passa
             [t if s is None else cut_spans(t, [(x["begin"], x["end"]) for x in s]) for t, s in zip(texts, spans)]
         )
 
-    joined = docs.join(listed, same, "left").withColumn(text, cut(F.col(text), F.col("__spans")))
-    return joined.select(*docs.columns)
+    joined = docs.alias("d").join(listed, same, "left")
+    shortened = cut(F.col(f"d.{text}"), F.col("s.spans")).alias(text)
+    return joined.select(*[shortened if c == text else F.col(f"d.`{c}`") for c in docs.columns])

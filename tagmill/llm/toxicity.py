@@ -234,19 +234,21 @@ def fit_toxicity(
     """Learn from labelled rows that aren't held out: at most ``SAMPLE_PER_CLASS`` of each label, chosen by a hash
     of the key among texts of at most ``SAMPLE_BYTES``, so the driver gets a bounded number of bytes.
 
-    Null labels and keys teach nothing; a key labelled both ways counts as toxic.
+    Null labels and keys teach nothing; a key labelled both ways counts as toxic; of a key with several texts one is taken.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~is_held_out(F.col(key)))
     known = known.groupBy(F.col(key).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_toxic"))
-    short = docs.where(F.octet_length(text) <= SAMPLE_BYTES)
-    usable = known.join(short.select(F.col(key).alias("_id")).distinct(), "_id")
+    short = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).where(F.octet_length("_text") <= SAMPLE_BYTES)
+    usable = known.join(short.select("_id").distinct(), "_id")
     counts = {r["_toxic"]: r["n"] for r in usable.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = F.xxhash64("_id")
     chosen = [usable.where(F.col("_toxic") == c).orderBy(order, "_id").limit(SAMPLE_PER_CLASS) for c in (1, 0)]
     ids = chosen[0].unionByName(chosen[1])  # bounded: 2 * SAMPLE_PER_CLASS rows
-    rows = short.join(F.broadcast(ids), F.col(key) == F.col("_id")).select("_toxic", F.col(text).alias("_text"), "_id")
-    rows = sorted(rows.dropDuplicates(["_id"]).collect(), key=lambda r: r["_id"])
-    found = {c: [r["_text"] for r in rows if r["_toxic"] == c] for c in (1, 0)}
+    # Of a key's texts the one with the smallest hash, so a repeated key gives the same model every time.
+    first = F.min(F.struct(F.xxhash64("_text").alias("mark"), F.col("_text").alias("text"))).alias("first")
+    rows = short.join(F.broadcast(ids), "_id").groupBy("_id", "_toxic").agg(first)
+    rows = sorted(rows.collect(), key=lambda r: r["_id"])
+    found = {c: [r["first"]["text"] for r in rows if r["_toxic"] == c] for c in (1, 0)}
     total = sum(counts.values())
     return train(found[1], found[0], counts.get(1, 0) / total if total else 0.0)
 
@@ -262,5 +264,8 @@ def toxicity_score(text: Column | str, model: ToxicityModel) -> Column:
 
 
 def with_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", to: str = "score") -> DataFrame:
-    """All rows and columns of ``docs`` and ``to``, by a model learnt from ``labels``."""
+    """All rows and columns of ``docs`` and ``to``, by a model learnt from ``labels``; a column ``to`` is replaced.
+
+    Null texts are scored as empty ones; null and repeated keys are rows like others. ``is_held_out`` is null for a null key.
+    """
     return docs.withColumn(to, toxicity_score(text, fit_toxicity(docs, labels, key, text)))

@@ -25,6 +25,7 @@ def documents(spark, texts=TEXTS, first=1, extra=False):
     df = spark.createDataFrame([Row(*r) for r in rows], DOCUMENTS)
     if extra:  # names that the operators use inside
         names = ["id", "key", "ids", "fp", "block", "word", "copy", "place", "length", "piece", "start", "score", "n_tokens"]
+        names += ["_id", "_toxic", "_text", "__rows", "__spans", "__id", "__copy", "__score", "row", "n", "d", "k", "s", "spans"]
         for name in names:
             df = df.selectExpr("*", f"'clash' AS {name}")
     return df

@@ -169,3 +169,10 @@ def test_digest_of_ids(spark, libraries):
     digest = out.where("doc_id = 1").select(F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256)).first()[0]
     text = documents(spark).first().text
     assert digest == hashlib.sha256(" ".join(map(str, library_ids(libraries[WORD], text))).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}"])
+def test_record_folders_by_any_name(spark, tmp_path, form):
+    df, folder = documents(spark, ["one text", "another", None]), form.format(tmp_path / "records")
+    index = write_records(df, WORD, folder)
+    assert read_records(index, folder).count() == 3

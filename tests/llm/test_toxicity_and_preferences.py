@@ -2,10 +2,12 @@
 
 import random
 
+import duckdb
 import numpy as np
 from helpers import DOCUMENTS, awkward
 from pyspark.sql import functions as F
 
+from tagmill.llm import queries
 from tagmill.llm.preferences import conversation_turns, format_preferences, swapped_last_answers
 from tagmill.llm.toxicity import WINDOW, fit_toxicity, is_held_out, toxicity_score, train, windows, with_toxicity
 
@@ -107,3 +109,17 @@ def test_preferences_of_null_and_equal_sides(spark):
     assert got["y"].common_turns == 1 and got["y"].chosen_text == got["y"].rejected_text == ""
     assert got["z"].prompt == ""
     assert format_preferences(pairs.where("prompt2 = 'none'")).count() == 0
+
+
+def test_preferences_sql_agrees_on_nulls(spark, tmp_path):
+    rows = [
+        (4, 0, "user", "hi"), (4, None, "user", "early"), (4, 1, "assistant", None), (4, 1, "assistant", "yes"), (4, 2, None, "?"),
+        (5, 0, "user", None), (5, 0, "user", "b"), (5, 1, "assistant", "no"), (8, None, None, None), (None, 0, "user", "x"),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    table.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op10_preferences(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(queries.SQL["op10_preferences"]).fetchall()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
