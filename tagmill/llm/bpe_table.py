@@ -1,12 +1,15 @@
-"""Encoding through a table of distinct words, and decoding through the vocabulary.
+"""Encoding through a table of distinct words, and decoding through a join of ids with pieces.
 
 Texts are dealt into blocks. Each block names its distinct words; the words meet by value, so each is encoded
-once; its ids go back to the blocks that named it, where every position of every text looks them up. A word
-comes at most once from a block, so no word is a hot key, and blocks are dealt by a hash of the whole row.
+once, and its ids are joined with (id, piece) once; both go back to the blocks that named the word, where every
+position of every text looks them up. A word comes at most once from a block, so no word is a hot key, and blocks are
+dealt by a hash of the whole row. Texts and looked-up words travel in compressed bundles; a task reads the words of a
+block, then its texts, as one stream, and holds no more than the words of one block.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +23,9 @@ from .encoders import WordEncoder, definition_of, pieces_by_id, release_memory
 BLOCK_CHARS = 24_000_000  # layout only: results do not depend on it
 _PACKED_ROWS = 1_000
 _BUNDLED_ROWS = 5_000
+_BUNDLED_WORDS = 200_000
+_BUNDLE, _BUNDLE_SHAPE = ["block", "kind", "rows"], "block int, kind int, rows binary"
+_SPACES = re.compile("[\x20\x09-\x0D]+")
 _SPREAD = 3  # partitions per block, so that few blocks share a task
 
 
@@ -35,8 +41,8 @@ def _unpacked(value) -> pa.Table:
     return pa.ipc.open_stream(value).read_all()
 
 
-def packed_blocks(docs: DataFrame, key: str, text: str, blocks: int) -> DataFrame:
-    """(block, rows): documents in compressed bundles, those of a block in one partition."""
+def packed_blocks(docs: DataFrame, key: str, text: str, blocks: int, parts: int) -> DataFrame:
+    """(block, kind, rows): documents in compressed bundles, those of a block in one of ``parts`` partitions, kind 1."""
     rows = docs.select(
         F.pmod(F.xxhash64(key, text), F.lit(blocks)).cast("int").alias("block"),
         F.col(key).alias("key"),
@@ -57,26 +63,35 @@ def packed_blocks(docs: DataFrame, key: str, text: str, blocks: int) -> DataFram
             _packed(table.slice(a, b - a).select(["key", "text"]).combine_chunks().to_batches()[0])
             for a, b in zip(cuts, cuts[1:])
         ]
+        kinds = pa.array(np.ones(len(bundles), np.int32))
         return pa.RecordBatch.from_arrays(
-            [pa.array(block[cuts[:-1]] if bundles else [], pa.int32()), pa.array(bundles, pa.binary())],
-            ["block", "rows"],
+            [pa.array(block[cuts[:-1]] if bundles else [], pa.int32()), kinds, pa.array(bundles, pa.binary())], _BUNDLE
         )
 
-    return rows.mapInArrow(pack, "block int, rows binary").repartition(_SPREAD * blocks, "block")
+    return rows.mapInArrow(pack, _BUNDLE_SHAPE).repartition(parts, "block")
+
+
+def table_words(encoder: WordEncoder, texts: list[str]) -> list[list[str]]:
+    """The words of every text. Where only the library can tell, a text is cut at ASCII white space, as no token has any, and
+    only pieces that hold such characters are words as they stand."""
+    out = encoder.words_of(texts)
+    for k, words in enumerate(out):
+        if words is None:
+            out[k] = []
+            for part in _SPACES.split(texts[k]):
+                out[k] += [part] if encoder.needs_library(part) else encoder.pattern_words(part)
+    return out
 
 
 def block_words(bundles: DataFrame, definition) -> DataFrame:
-    """(word, block): the distinct words of every block. A text that only the library can
-    cut counts as one word."""
+    """(word, block): the distinct words of every block."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, found = WordEncoder(definition.value), {}
         for batch in batches:
-            for block, rows in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows")):
                 texts = [t or "" for t in _unpacked(rows.as_buffer())["text"].to_pylist()]
-                seen = found.setdefault(block, set())
-                for text, words in zip(texts, encoder.words_of(texts)):
-                    seen.update([text] if words is None else words)
+                found.setdefault(block, set()).update(*table_words(encoder, texts))
         for block, words in found.items():
             words.discard("")
             for part in _slices(sorted(words), 50_000):
@@ -94,32 +109,73 @@ def _slices(items: list, size: int) -> Iterator[list]:
 
 
 def encoded_words(words: DataFrame, definition) -> DataFrame:
-    """(block, word, ids): each distinct word is encoded once, whatever number of blocks named it."""
+    """(word, blocks, ids): each distinct word is encoded once, whatever number of blocks named it."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
-        encoder = WordEncoder(definition.value)
-        last, packed = None, b""
+        encoder, last, blocks = WordEncoder(definition.value), None, []
+
+        def table(words: list[str], named: list[list[int]]) -> pa.RecordBatch:
+            packed = [encoder.library(w) if encoder.needs_library(w) else encoder.words.packed(w) for w in words]
+            flat = np.frombuffer(b"".join(packed), encoder.dtype).astype(np.int32)
+            ends = np.cumsum([0, *(len(p) // encoder.dtype.itemsize for p in packed)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            columns = [pa.array(words, pa.string()), pa.array(named, pa.list_(pa.int32())), ids]
+            return pa.RecordBatch.from_arrays(columns, ["word", "blocks", "ids"])
+
         for batch in batches:
-            ids = []
-            for word in batch.column("word").to_pylist():
+            done, named = [], []
+            for word, block in zip(batch.column("word").to_pylist(), batch.column("block").to_pylist()):
                 if word != last:
-                    last = word
-                    packed = encoder.library(word) if encoder.needs_library(word) else encoder.words.packed(word)
-                ids.append(packed)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("word"), pa.array(ids, pa.binary())], ["block", "word", "ids"]
-            )
-
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(
-        encode, "block int, word string, ids binary"
-    )
+                    if last is not None:
+                        done.append(last)
+                        named.append(blocks)
+                    last, blocks = word, []
+                blocks.append(block)
+            yield table(done, named)
+        if last is not None:
+            yield table([last], [blocks])
+
+    dealt = words.repartition("word").sortWithinPartitions("word")
+    return dealt.mapInArrow(encode, "word string, blocks array<int>, ids array<int>")
+
+
+def word_bundles(table: DataFrame, parts: int) -> DataFrame:
+    """(block, kind, rows): the rows (word, blocks, ids, decoded) of every block in compressed bundles, kind 0."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= _BUNDLED_WORDS:
+                yield bundled(pa.Table.from_batches(held))
+                held = []
+        if held:
+            yield bundled(pa.Table.from_batches(held))
+        release_memory()
+
+    def bundled(table: pa.Table) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        lists = table["blocks"].combine_chunks()
+        block, row = lists.flatten().to_numpy(), lists.value_parent_indices().to_numpy()
+        order = np.argsort(block, kind="stable")
+        block, row = block[order], row[order]
+        cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else np.zeros(1, np.int64)
+        rows = table.select(["word", "ids", "decoded"])
+        bundles = [_packed(rows.take(pa.array(row[a:b])).combine_chunks().to_batches()[0]) for a, b in zip(cuts, cuts[1:])]
+        kinds = pa.array(np.zeros(len(bundles), np.int32))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[cuts[:-1]] if bundles else [], pa.int32()), kinds, pa.array(bundles, pa.binary())], _BUNDLE
+        )
+
+    return table.mapInArrow(pack, _BUNDLE_SHAPE).repartition(parts, "block")
 
 
 def encode_by_table(
     docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
-    """``key`` and ``ids`` (array of int) of every row, as the tokenizer encodes its text without special ids.
+    """``key``, ``ids`` (array of int) as the tokenizer encodes the text without special ids, and ``decoded``, the ids'
+    pieces joined by spaces, of every row.
 
     Null and empty texts have no ids; null keys, repeated keys and repeated rows give a row each.
     """
@@ -127,47 +183,42 @@ def encode_by_table(
     definition = spark.sparkContext.broadcast(definition_of(tokenizer_path))
     total = docs.agg(F.sum(F.length(text))).first()[0] or 0
     blocks = max(spark.sparkContext.defaultParallelism, -(-total // block_chars))
-    bundles = packed_blocks(docs, key, text, blocks)
-    table = encoded_words(block_words(bundles, definition), definition)
-    schema = T.StructType(
-        [T.StructField(key, docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
-    )
-
-    def gather(left: Iterator[pa.RecordBatch], right: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, known = WordEncoder(definition.value), {"": b""}
-        for batch in right:
-            for a in range(0, batch.num_rows, 50_000):
-                part = batch.slice(a, 50_000)
-                known.update(zip(part.column("word").to_pylist(), part.column("ids").to_pylist()))
-        find = known.__getitem__
-        for batch in left:
-            for rows in batch.column("rows"):
+    parts = _SPREAD * blocks
+    bundles = packed_blocks(docs, key, text, blocks, parts)
+    table = decode_ids(encoded_words(block_words(bundles, definition), definition), vocabulary(spark, tokenizer_path))
+    shape = [T.StructField(key, docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([*shape, T.StructField("decoded", T.StringType())])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, block, ids, decoded = WordEncoder(definition.value), None, {}, {}
+        for batch in batches:
+            for at, kind, rows in zip(*(batch.column(c).to_pylist() for c in ("block", "kind")), batch.column("rows")):
+                if at != block:
+                    block, ids, decoded = at, {"": b""}, {}
                 bundle = _unpacked(rows.as_buffer())
+                if kind == 0:
+                    words, lists = bundle["word"].to_pylist(), bundle["ids"].combine_chunks()
+                    flat, ends = lists.values.to_numpy().astype(encoder.dtype), lists.offsets.to_numpy()
+                    ids.update((w, flat[a:b].tobytes()) for w, a, b in zip(words, ends[:-1], ends[1:]))
+                    decoded.update(zip(words, bundle["decoded"].to_pylist()))
+                    continue
                 for a in range(0, bundle.num_rows, _PACKED_ROWS):
                     part = bundle.slice(a, _PACKED_ROWS).combine_chunks()
-                    texts = [t or "" for t in part["text"].to_pylist()]
-                    packed = [
-                        known[text] if words is None else b"".join(map(find, words))
-                        for text, words in zip(texts, encoder.words_of(texts))
-                    ]
+                    words = table_words(encoder, [t or "" for t in part["text"].to_pylist()])
+                    # A word that its block has not got is an error: its bundles would stand in another partition.
+                    packed = [b"".join(map(ids.__getitem__, found)) for found in words]
+                    texts = [" ".join(filter(None, map(decoded.get, found))) for found in words]
                     flat = np.frombuffer(b"".join(packed), encoder.dtype).astype(np.int32)
-                    ends = np.cumsum([0, *(len(p) // 2 for p in packed)], dtype=np.int32)
-                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                    yield pa.RecordBatch.from_arrays([part["key"].combine_chunks(), ids], schema.names)
-        known.clear()
+                    ends = np.cumsum([0, *(len(p) // encoder.dtype.itemsize for p in packed)], dtype=np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                    yield pa.RecordBatch.from_arrays(
+                        [part["key"].combine_chunks(), lists, pa.array(texts, pa.string())], schema.names
+                    )
         release_memory()
 
-    def merge(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _as_table(gather(left.to_batches(), right.to_batches()), schema)
-
-    return bundles.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(merge, schema)
-
-
-def _as_table(batches: Iterator[pa.RecordBatch], schema: T.StructType) -> pa.Table:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    parts = list(batches)
-    return pa.Table.from_batches(parts) if parts else to_arrow_schema(schema).empty_table()
+    # Both sides are dealt by block into equally many partitions, which a union puts together without a shuffle.
+    stream = word_bundles(table, parts).unionByName(bundles).sortWithinPartitions("block", "kind")
+    return stream.mapInArrow(gather, schema)
 
 
 def vocabulary(spark, tokenizer_path: str) -> DataFrame:
@@ -177,12 +228,48 @@ def vocabulary(spark, tokenizer_path: str) -> DataFrame:
 
 
 def decode_ids(encoded: DataFrame, pieces: DataFrame, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """Adds the text of ``ids``: pieces joined by spaces, as tokenizers without a decoder do. Null stays null.
+    """Adds the text of ``ids``: their pieces joined by spaces, as tokenizers without a decoder do. Null stays null.
 
-    The join with (id, piece) is one broadcast row, the pieces in order of id; it is as large as the tokenizer
-    file and does not grow with the documents. An id that is no piece's is an error.
+    Every id is a row that is joined with (id, piece), a table as large as the tokenizer file, which is broadcast; the
+    rows of a list stay side by side, so they are put together again without a shuffle. An id that is no
+    piece's is an error. A column ``to`` is replaced.
     """
-    listed = pieces.groupBy().agg(F.sort_array(F.collect_list(F.struct("id", "piece"))).alias("_all"))
-    listed = listed.select(F.transform("_all", lambda p: p["piece"]).alias("_pieces"))
-    found = F.transform(F.col(ids), lambda i: F.element_at("_pieces", i + 1))
-    return encoded.crossJoin(F.broadcast(listed)).withColumn(to, F.array_join(found, " ")).drop("_pieces")
+    kept = [c for c in encoded.columns if c != to]
+    rows = encoded.select(F.struct(*kept).alias("row"), F.posexplode_outer(ids).alias("place", "id"))
+    place = F.coalesce("place", F.lit(0))
+    known = F.broadcast(pieces.select(F.col("id").alias("piece_id"), "piece"))
+    met = rows.join(known, F.col("id") == F.col("piece_id"), "left").select(
+        F.when(place == 0, F.col("row")).alias("row"), place.alias("place"), "id", "piece"
+    )
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField(to, T.StringType())])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, held, last = None, [], -1  # the list that the last batch ended in
+        for batch in batches:
+            places, found = batch.column("place").to_numpy(), batch.column("piece").to_pylist()
+            if not len(places):
+                continue
+            if (batch.column("piece").is_null().to_numpy(False) & batch.column("id").is_valid().to_numpy(False)).any():
+                raise ValueError("an id that is no piece's")
+            if not ((places == 0) | (places == np.r_[last, places[:-1]] + 1)).all():
+                raise RuntimeError("the ids of a list came apart")
+            starts = np.flatnonzero(places == 0).tolist()
+            held += found[: starts[0]] if starts else found
+            if starts:
+                if row is not None:
+                    yield joined(row, [held])
+                lists = [found[a:b] for a, b in zip(starts, starts[1:])]
+                if lists:
+                    yield joined(batch.column("row").take(pa.array(starts[:-1])), lists)
+                row, held = batch.column("row").slice(starts[-1], 1), found[starts[-1] :]
+            last = int(places[-1])
+        if row is not None:
+            yield joined(row, [held])
+
+    def joined(rows: pa.Array, lists: list[list]) -> pa.RecordBatch:
+        at = rows.type.get_field_index(ids)
+        empty = rows.flatten()[at].is_null().to_pylist()
+        texts = [None if e else " ".join(p for p in found if p is not None) for e, found in zip(empty, lists)]
+        return pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.string())], ["row", to])
+
+    return met.mapInArrow(gather, schema).select("row.*", to)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .automaton import token_counts
 from .binary_codes import near_vectors
-from .bpe_table import decode_ids, encode_by_table, vocabulary
+from .bpe_table import encode_by_table
 from .mixing import mix_sources
 from .packing import pack_documents
 from .periods import periodic_runs, strongest
@@ -46,8 +46,7 @@ def op9_best_fit_packing(spark, sf):
 
 @query
 def op1_bpe_table(spark, sf):
-    encoded = encode_by_table(table(spark, sf, "documents"), WORD_VOCABULARY)
-    both = decode_ids(encoded, vocabulary(spark, WORD_VOCABULARY))
+    both = encode_by_table(table(spark, sf, "documents"), WORD_VOCABULARY)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tagmill.llm.automaton import TokenCounter, token_counts
-from tagmill.llm.bpe_table import decode_ids, encode_by_table, vocabulary
+from tagmill.llm.bpe_table import decode_ids, encode_by_table, table_words, vocabulary
 from tagmill.llm.encoders import definition_of, load_tokenizer, text_encoder
 from tagmill.llm.packing import best_fit_decreasing, lower_bound, pack_documents, pack_pieces
 from tagmill.llm.records import frame, read_records, unframe, write_records
@@ -45,10 +45,32 @@ def test_encoders_and_counter_agree_with_the_library(libraries, texts):
     assert COUNTER.count(texts).tolist() == [len(library_ids(libraries[WORD], t)) for t in texts]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("abeß'sT. ,\n\t\x0b\x1f\x85\xa012<|>ŉ\u0301\U0001f600"), st.characters(exclude_categories=["Cs"]))))
+def test_words_of_the_table_give_the_ids_of_the_library(libraries, text):
+    encoder = ENCODERS[WORD]
+    for part in (text, f"a {text} <|endoftext|>x {text}é"):
+        words = table_words(encoder, [part])[0]
+        packed = b"".join(encoder.library(w) if encoder.needs_library(w) else encoder.words.packed(w) for w in words)
+        assert np.frombuffer(packed, encoder.dtype).tolist() == library_ids(libraries[WORD], part)
+
+
+def test_ids_without_a_piece_are_refused(spark):
+    table = vocabulary(spark, WORD)
+    rows = spark.createDataFrame([(1, [320, 5]), (2, None), (3, []), (4, [7] * 25_000)], "row int, ids array<int>")
+    got = {r["row"]: r["text"] for r in decode_ids(rows, table, to="text").collect()}
+    piece = {r["id"]: r["piece"] for r in table.where("id in (5, 7, 320)").collect()}
+    assert got == {1: f"{piece[320]} {piece[5]}", 2: None, 3: "", 4: " ".join([piece[7]] * 25_000)}
+    with pytest.raises(Exception, match="no piece"):
+        decode_ids(spark.createDataFrame([([1, 99_999],)], "ids array<int>"), table).collect()
+
+
 def test_word_table_round_trip(spark, libraries):
     df = awkward(spark)
-    out = decode_ids(encode_by_table(df, WORD, block_chars=5_000), vocabulary(spark, WORD))
+    out = encode_by_table(df, WORD, block_chars=5_000)
     assert out.columns == ["doc_id", "ids", "decoded"]
+    again = decode_ids(out.repartition(3), vocabulary(spark, WORD))
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, out.collect()))
     want = []
     for doc_id, text in rows_of(df, "doc_id", "text"):
         ids = library_ids(libraries[WORD], text)
