@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .encoders import WordEncoder, definition_of, pieces_by_id, release_memory
+from .encoders import WordEncoder, definition_of, grouped, pieces_by_id, release_memory
 
 BLOCK_CHARS = 24_000_000  # layout only: results do not depend on it
-_PACKED_ROWS = 1_000
+_GROUP_CHARS = 250_000
 _BUNDLED_ROWS = 5_000
 _BUNDLED_WORDS = 200_000
 _BUNDLE, _BUNDLE_SHAPE = ["block", "kind", "rows"], "block int, kind int, rows binary"
@@ -90,8 +90,9 @@ def block_words(bundles: DataFrame, definition) -> DataFrame:
         encoder, found = WordEncoder(definition.value), {}
         for batch in batches:
             for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows")):
-                texts = [t or "" for t in _unpacked(rows.as_buffer())["text"].to_pylist()]
-                found.setdefault(block, set()).update(*table_words(encoder, texts))
+                seen = found.setdefault(block, set())
+                for texts in grouped(_unpacked(rows.as_buffer())["text"].to_pylist(), _GROUP_CHARS):
+                    seen.update(*table_words(encoder, texts))
         for block, words in found.items():
             words.discard("")
             for part in _slices(sorted(words), 50_000):
@@ -135,23 +136,29 @@ def encoded_words(words: DataFrame, definition) -> DataFrame:
             yield table(done, named)
         if last is not None:
             yield table([last], [blocks])
+        encoder, done, named, batch = None, [], [], None
+        release_memory()
 
     dealt = words.repartition("word").sortWithinPartitions("word")
     return dealt.mapInArrow(encode, "word string, blocks array<int>, ids array<int>")
 
 
-def word_bundles(table: DataFrame, parts: int) -> DataFrame:
-    """(block, kind, rows): the rows (word, blocks, ids, decoded) of every block in compressed bundles, kind 0."""
+def word_bundles(table: DataFrame, pieces: DataFrame, parts: int) -> DataFrame:
+    """(block, kind, rows): the rows (word, blocks, ids) of every block with their ``decoded`` text in compressed bundles,
+    kind 0. Ids are joined with ``pieces``, and one worker puts lists together and bundles them."""
+    met, together, _ = _piece_rows(table, pieces, "ids", "decoded")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
+        for batch in together(batches):
+            row, names = batch.column("row"), [f.name for f in batch.column("row").type]
+            held.append(pa.RecordBatch.from_arrays([*row.flatten(), batch.column("decoded")], [*names, "decoded"]))
             if sum(b.num_rows for b in held) >= _BUNDLED_WORDS:
                 yield bundled(pa.Table.from_batches(held))
                 held = []
         if held:
             yield bundled(pa.Table.from_batches(held))
+            held = []
         release_memory()
 
     def bundled(table: pa.Table) -> pa.RecordBatch:
@@ -168,7 +175,7 @@ def word_bundles(table: DataFrame, parts: int) -> DataFrame:
             [pa.array(block[cuts[:-1]] if bundles else [], pa.int32()), kinds, pa.array(bundles, pa.binary())], _BUNDLE
         )
 
-    return table.mapInArrow(pack, _BUNDLE_SHAPE).repartition(parts, "block")
+    return met.mapInArrow(pack, _BUNDLE_SHAPE).repartition(parts, "block")
 
 
 def encode_by_table(
@@ -185,7 +192,8 @@ def encode_by_table(
     blocks = max(spark.sparkContext.defaultParallelism, -(-total // block_chars))
     parts = _SPREAD * blocks
     bundles = packed_blocks(docs, key, text, blocks, parts)
-    table = decode_ids(encoded_words(block_words(bundles, definition), definition), vocabulary(spark, tokenizer_path))
+    table = encoded_words(block_words(bundles, definition), definition)
+    words = word_bundles(table, vocabulary(spark, tokenizer_path), parts)
     shape = [T.StructField(key, docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
     schema = T.StructType([*shape, T.StructField("decoded", T.StringType())])
 
@@ -194,7 +202,10 @@ def encode_by_table(
         for batch in batches:
             for at, kind, rows in zip(*(batch.column(c).to_pylist() for c in ("block", "kind")), batch.column("rows")):
                 if at != block:
-                    block, ids, decoded = at, {"": b""}, {}
+                    ids.clear()
+                    decoded.clear()
+                    release_memory()
+                    block, ids[""] = at, b""
                 bundle = _unpacked(rows.as_buffer())
                 if kind == 0:
                     words, lists = bundle["word"].to_pylist(), bundle["ids"].combine_chunks()
@@ -202,9 +213,10 @@ def encode_by_table(
                     ids.update((w, flat[a:b].tobytes()) for w, a, b in zip(words, ends[:-1], ends[1:]))
                     decoded.update(zip(words, bundle["decoded"].to_pylist()))
                     continue
-                for a in range(0, bundle.num_rows, _PACKED_ROWS):
-                    part = bundle.slice(a, _PACKED_ROWS).combine_chunks()
-                    words = table_words(encoder, [t or "" for t in part["text"].to_pylist()])
+                first = 0
+                for group in grouped(bundle["text"].to_pylist(), _GROUP_CHARS):
+                    part, first = bundle.slice(first, len(group)), first + len(group)
+                    words = table_words(encoder, group)
                     # A word that its block has not got is an error: its bundles would stand in another partition.
                     packed = [b"".join(map(ids.__getitem__, found)) for found in words]
                     texts = [" ".join(filter(None, map(decoded.get, found))) for found in words]
@@ -214,10 +226,11 @@ def encode_by_table(
                     yield pa.RecordBatch.from_arrays(
                         [part["key"].combine_chunks(), lists, pa.array(texts, pa.string())], schema.names
                     )
+        ids, decoded = {}, {}
         release_memory()
 
     # Both sides are dealt by block into equally many partitions, which a union puts together without a shuffle.
-    stream = word_bundles(table, parts).unionByName(bundles).sortWithinPartitions("block", "kind")
+    stream = words.unionByName(bundles).sortWithinPartitions("block", "kind")
     return stream.mapInArrow(gather, schema)
 
 
@@ -234,6 +247,12 @@ def decode_ids(encoded: DataFrame, pieces: DataFrame, ids: str = "ids", to: str
     rows of a list stay side by side, so they are put together again without a shuffle. An id that is no
     piece's is an error. A column ``to`` is replaced.
     """
+    met, together, schema = _piece_rows(encoded, pieces, ids, to)
+    return met.mapInArrow(together, schema).select("row.*", to)
+
+
+def _piece_rows(encoded: DataFrame, pieces: DataFrame, ids: str, to: str):
+    """Rows (row, place, id, piece), the function that makes rows (row, ``to``) of them again, and their schema."""
     kept = [c for c in encoded.columns if c != to]
     rows = encoded.select(F.struct(*kept).alias("row"), F.posexplode_outer(ids).alias("place", "id"))
     place = F.coalesce("place", F.lit(0))
@@ -272,4 +291,4 @@ def decode_ids(encoded: DataFrame, pieces: DataFrame, ids: str = "ids", to: str
         texts = [None if e else " ".join(p for p in found if p is not None) for e, found in zip(empty, lists)]
         return pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.string())], ["row", to])
 
-    return met.mapInArrow(gather, schema).select("row.*", to)
+    return met, gather, schema
