@@ -42,11 +42,11 @@ def test_only_needed_columns_are_read(records):
 
 
 def test_shares_and_pairs_never_gather_a_user(records):
-    """Windows run over counts per (user, rate), below an aggregate, never over the records."""
+    """Windows run over stored counts per (user, rate), never over the records."""
     shown = plan(compare_items(records))
-    tree = shown.split("\n\n")[0]
-    window = tree.index("Window")
-    assert "HashAggregate" in tree[window:]
+    windowed = [part for part in shown.split("\n\n") if "Window" in part.split("\n")[0] and "Input" in part]
+    assert windowed and all("_n#" in part.split("Arguments")[0] for part in windowed)
+    assert "/rates" in shown
     # One exchange feeds both sides of the self-join.
     df = compare_items(records)
     df.collect()
@@ -65,6 +65,26 @@ def test_a_page_is_read_once(spark):
     assert tree.count("ArrowEvalPython") == 1
 
 
+def test_ranks_exchange_rows_once(records):
+    """One range exchange of the rows, which is stored; after it only the small table of ranges is shuffled or sent."""
+    ratings = records.select("subject_id", "rate")
+    shown = plan(rank_lists(ratings, "rate", ["subject_id"]))
+    assert "rate#" not in "".join(line for line in shown.splitlines() if "Join condition" in line or "Left keys" in line)
+    scans = [part for part in shown.split("\n\n") if "Scan parquet" in part.split("\n")[0]]
+    assert scans and all("/ranges" in scan for scan in scans)
+
+
+def test_a_rating_of_a_third_of_the_rows_is_spread(spark):
+    rows = spark.range(6_000).select("id", F.when(F.col("id") % 3 == 0, 7.5).otherwise(F.col("id") / 2).alias("v"))
+    ranked = rank_lists(rows, "v", parts=8)
+    got = {r["id"]: r["rank"] for r in ranked.collect()}
+    above = sum(1 for i in range(6_000) if i % 3 and i / 2 > 7.5)
+    assert {got[i] for i in range(0, 6_000, 3)} == {above + 1}
+    folder = [p for p in ranked.inputFiles() if "/ranges" in p][0].rsplit("/", 1)[0]
+    ranges = spark.read.parquet(folder).where("v = 7.5").groupBy("_range").count().collect()
+    assert len(ranges) > 2 and max(r["count"] for r in ranges) < 1_500
+
+
 def test_ranks_do_not_use_one_task(records):
     shown = plan(rank_lists(records.select("subject_id", "rate"), "rate"))
     assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
