@@ -24,6 +24,8 @@ from tagmill.sources.writers import (
     write_csv,
     write_item_tsv,
     write_jsonlines,
+    write_numbered,
+    write_routed,
     write_tsv,
 )
 
@@ -131,6 +133,45 @@ def routed_items(spark, sf):
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
+@check(
+    """
+    SELECT CASE WHEN event_type = 'signup' THEN 'user'
+                WHEN event_type = 'click' AND value > 10 THEN 'record' ELSE 'rest' END AS file, event_id,
+           CASE WHEN event_type = 'click' AND value > 10 THEN round(value, 6) END AS value
+    FROM events"""
+)
+def routed_in_one_scan(spark, sf):
+    """Outputs with columns of their own; only records have a value."""
+    signup = F.col("event_type") == "signup"
+    record = (F.col("event_type") == "click") & (F.col("value") > 10)
+    columns = {"user": ["event_id"], "record": ["event_id", "value"], "rest": ["event_id"]}
+    outputs = write_routed(
+        table(spark, sf, "events"), {"user": signup, "record": record}, scratch_folder(spark, "routes"), columns=columns
+    )
+    named = [
+        d.select(
+            F.lit(n).alias("file"), "event_id", F.round(d["value"] if n == "record" else F.lit(None).cast("double"), 6).alias("value")
+        )
+        for n, d in outputs.items()
+    ]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+@check(
+    """
+    SELECT CAST(floor(n / 1000) AS BIGINT) AS chunk, count(*) AS rows, 1::BIGINT AS files
+    FROM (SELECT row_number() OVER () - 1 AS n FROM lineitem) GROUP BY 1"""
+)
+def numbered_files(spark, sf):
+    """Every numbered file but the last is full, and each number is one file."""
+    path = scratch_folder(spark, "files")
+    write_numbered(table(spark, sf, "lineitem").select("l_orderkey"), path, 1_000)
+    stored = spark.read.schema(struct(l_orderkey=LONG, chunk=LONG)).json(path)
+    return stored.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(F.col("_metadata.file_path")).alias("files")
+    )
+
+
 @check("SELECT count(*) AS rows, true AS within_limit FROM orders")
 def chunked_files(spark, sf):
     path = scratch_folder(spark, "files")

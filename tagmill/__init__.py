@@ -45,6 +45,7 @@ from .operators.subjects import (
 )
 from .operators.tags import tag_confidence, tag_table, user_authority
 from .plans.nightly import Paths, run_pipeline
+from .sources.ledger import Ledger
 from .sources.readers import (
     latest_by,
     latest_snapshot,
@@ -59,6 +60,8 @@ from .sources.writers import (
     write_csv,
     write_item_tsv,
     write_jsonlines,
+    write_numbered,
+    write_routed,
     write_tsv,
 )
 

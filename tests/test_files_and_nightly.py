@@ -11,6 +11,7 @@ from tagmill.operators.snapshots import snapshot_diff
 from tagmill.plans.nightly import Paths, newest, run_pipeline
 from tagmill.schemas import INT, LONG, TEXT, listed, struct
 from tagmill.session import counted, scratch_folder
+from tagmill.sources.ledger import Ledger
 from tagmill.sources.readers import (
     latest_by,
     latest_snapshot,
@@ -28,6 +29,8 @@ from tagmill.sources.writers import (
     write_csv,
     write_item_tsv,
     write_jsonlines,
+    write_numbered,
+    write_routed,
     write_tsv,
 )
 from pyspark.sql import types as T
@@ -36,7 +39,7 @@ AS_OF = dt.date(2026, 12, 1)
 
 
 def text_of(folder):
-    return "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{folder}/part-*")))
+    return "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{folder}/**/part-*", recursive=True)))
 
 
 def test_jsonlines(spark, tmp_path):
@@ -144,9 +147,12 @@ def test_row_counts(spark):
     assert seen.get == {"rows": 7}
 
 
-def test_whole_chain(spark, tmp_path):
+def landed(folder):
+    """A small catalogue: the writer of its files, and records, statistics and archive."""
+
     def lines(name, rows):
-        path = tmp_path / name
+        path = folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text("".join(json.dumps(r, ensure_ascii=False) + "\n" for r in rows))
         return str(path)
 
@@ -167,6 +173,11 @@ def test_whole_chain(spark, tmp_path):
         for s in range(1, 6)
         for u in range(1, 7)
     ]
+    return lines, records, stats, archive
+
+
+def test_whole_chain(spark, tmp_path):
+    lines, records, stats, archive = landed(tmp_path)
     gone = {"subject_id": 9, "user_id": "u1", "user_order": 1, "rate": 1, "tags": []}
     paths = Paths(
         records=lines("records", records),
@@ -208,6 +219,80 @@ def test_whole_chain(spark, tmp_path):
     assert rows["subject_archive"] == 4 and rows["subject_del"] == 1
 
 
+def test_a_broken_night_is_taken_up_again(spark, tmp_path, monkeypatch):
+    """Nothing is named but the two folders: newest and previous inputs come from what has landed and from the ledger."""
+    from tagmill.plans import nightly
+
+    lines, records, stats, archive = landed(tmp_path / "landed")
+    for name, rows in (("records", records), ("stats", stats), ("archive", archive)):
+        lines(f"{name}/as_of=2026_12_01/part-0.json", rows)
+    paths = Paths(output=str(tmp_path / "out"), landed=str(tmp_path / "landed"))
+    first = run_pipeline(spark, paths, AS_OF, tol=1e-2)
+    assert "subject_del" not in first and "collections_del" not in first
+
+    night = AS_OF + dt.timedelta(days=1)
+    lines("records/as_of=2026_12_02/part-0.json", records[2:])
+    lines("archive/as_of=2026_12_02/part-0.json", archive[1:])
+    made, broken = [], []
+
+    def watched(name):
+        make = getattr(nightly, name)
+
+        def run(*args, **settings):
+            made.append(name)
+            if name == "tag_table" and not broken:
+                broken.append(name)
+                raise OSError("the night breaks")
+            return make(*args, **settings)
+
+        monkeypatch.setattr(nightly, name, run)
+
+    for name in ("enrich_subjects", "subject_aliases", "tag_table", "build_documents"):
+        watched(name)
+    with pytest.raises(OSError, match="the night breaks"):
+        run_pipeline(spark, paths, night, tol=1e-2)
+    done = Ledger(spark, paths.output, night).done
+    assert set(done) == {"night", "collections", "subject_archive", "subject_entity"}
+    assert done["subject_archive"]["rows"] == 4 and done["subject_archive"]["inputs"]["archive"].endswith("as_of=2026_12_02")
+
+    lines("archive/as_of=2026_12_03/part-0.json", [])  # landed since; the night goes on with what it has chosen
+    rows = run_pipeline(spark, paths, night, tol=1e-2)
+    assert made == ["enrich_subjects", "subject_aliases", "tag_table", "tag_table", "build_documents"]
+    assert rows["subject_archive"] == 4 and rows["subject_del"] == 1 and rows["collections_del"] == 2
+    assert json.loads(text_of(tmp_path / "out/subject_del/as_of=2026_12_02")) == {"id": 1}
+    gone = {json.loads(x)["id"] for x in text_of(tmp_path / "out/collections_del/as_of=2026_12_02").splitlines()}
+    assert gone == {"1_1", "1_2"}
+
+    made.clear()
+    assert run_pipeline(spark, paths, night, tol=1e-2) == rows and made == []
+    run_pipeline(spark, paths, night, mapping={"n": "m"}, tol=1e-2)
+    assert made == ["subject_aliases", "tag_table", "build_documents"]
+
+
+def test_numbered_files_are_full(spark, tmp_path):
+    write_numbered(spark.range(0, 1_050, numPartitions=7), str(tmp_path / "n"), 100)
+    files = sorted(glob.glob(f"{tmp_path}/n/chunk=*/part-*"))
+    sizes = {int(f.split("chunk=")[1].split("/")[0]): len(open(f).readlines()) for f in files}
+    assert len(files) == 11 and sizes == {i: 100 if i < 10 else 50 for i in range(11)}
+    first = [json.loads(x)["id"] for x in text_of(tmp_path / "n/chunk=3").splitlines()]
+    assert first == list(range(300, 400))
+    write_numbered(spark.range(0), str(tmp_path / "none"), 100)
+    assert glob.glob(f"{tmp_path}/none/chunk=*") == []
+
+
+def test_routes_are_stored_by_one_scan(spark, tmp_path):
+    rows = [(1, "a", 5), (2, "b", None), (3, None, 7), (4, "a", None)]
+    df = spark.createDataFrame(rows, "id int, kind string, n int")
+    tests = {"a": F.col("kind") == "a", "big": F.col("n") > 4}
+    found = write_routed(df, tests, str(tmp_path / "r"), columns={"a": ["id"], "rest": ["id", "kind"]})
+    assert {k: sorted(map(tuple, v.collect())) for k, v in found.items()} == {
+        "a": [(1,), (4,)], "big": [(3, None, 7)], "rest": [(2, "b")]
+    }
+    assert found["a"].columns == ["id"]
+    only = write_routed(df.where("id = 2"), tests, str(tmp_path / "only"), rest=None)
+    assert [v.count() for v in only.values()] == [0, 0]
+
+
 def test_scratch_without_the_setting(spark, monkeypatch):
     import tagmill.session as session
 
