@@ -4,7 +4,7 @@ Only lengths decide a packing, so packing moves one small row per piece and neve
 partitions hold the same mix of lengths. Each partition packs
 its pieces by best-fit decreasing and compares its number of sequences with a lower bound. Sequences that
 could still be improved (in proportion to the gap, and the one that is filled least) give their pieces back;
-those pieces meet in fewer partitions and are packed again, until one partition holds what is left.
+those pieces are dealt to as many partitions as they fill and packed again, as long as that saves sequences.
 """
 
 from __future__ import annotations
@@ -26,8 +26,7 @@ from .encoders import definition_of, text_encoder
 
 # Layout only: any value gives a packing of all pieces.
 PIECES_PER_TASK = 100_000
-_FEWER = 16
-_GIVEN_BACK = 4
+_GIVEN_BACK = 12
 
 
 def tokenized_pieces(
@@ -123,7 +122,7 @@ def best_fit_decreasing(lengths: np.ndarray, limit: int) -> np.ndarray:
     return out
 
 
-def _pack_task(limit: int, turn: int, last: bool, columns: list[str]):
+def _pack_task(limit: int, turn: int, columns: list[str]):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if not parts:
@@ -139,9 +138,9 @@ def _pack_task(limit: int, turn: int, last: bool, columns: list[str]):
         chosen = best_fit_decreasing(lengths, limit)
         number = int(chosen.max()) + 1
         filled = np.bincount(chosen, weights=lengths, minlength=number).astype(np.int64)
-        gap = number - int(lengths.sum()) // limit if number > lower_bound(lengths, limit) else 0
+        gap = number - lower_bound(lengths, limit)  # certified: no packing of these pieces saves more
         back = np.zeros(number, bool)
-        if not last:
+        if gap > 0:
             back[np.argsort(filled, kind="stable")[: 1 + _GIVEN_BACK * gap]] = True
             back &= filled < limit
         by_bin = np.argsort(chosen, kind="stable")
@@ -149,12 +148,13 @@ def _pack_task(limit: int, turn: int, last: bool, columns: list[str]):
         first = np.ones(len(ends), bool)
         first[1:] = chosen[by_bin][1:] != chosen[by_bin][:-1]
         starts = ends - lengths[by_bin]
-        offset = np.empty(len(ends), np.int64)
+        offset, opens = np.empty(len(ends), np.int64), np.empty(len(ends), bool)
         offset[by_bin] = starts - np.maximum.accumulate(np.where(first, starts, 0))
-        base = (turn << 56) + (hand << 32)
-        sequence = pa.array(chosen + base, mask=back[chosen])
-        out = table.select(columns).append_column("sequence_id", sequence)
-        yield from out.append_column("offset", pa.array(offset, mask=back[chosen])).to_batches()
+        opens[by_bin] = first
+        sequence = pa.array(chosen + ((turn << 56) + (hand << 32)))
+        out = table.select(columns).append_column("sequence_id", sequence).append_column("offset", pa.array(offset))
+        out = out.append_column("_opens", pa.array(opens)).append_column("_back", pa.array(back[chosen]))
+        yield from out.to_batches()
 
     return pack
 
@@ -173,37 +173,54 @@ def _deal(hands: int, columns: list[str]):
     return deal
 
 
-def pack_pieces(pieces: DataFrame, limit: int = 1024) -> DataFrame:
+def pack_pieces(pieces: DataFrame, limit: int = 1024, turns: list[dict] | None = None) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces (columns ``length``, at most ``limit``, and any others).
 
     Every piece gets a place: sequences are gapless from 0 and hold at most ``limit``. Equal rows are separate
     pieces. An empty table gives an empty one. Numbers of sequences are unique but otherwise arbitrary.
+
+    Tasks whose number of sequences is above their bound give their emptiest ones back; these pieces are dealt anew to as
+    many tasks as their count needs, about ``PIECES_PER_TASK`` to each, and packed again.
+    Turns end when nothing came back or when one saved no sequence; the places of the turn before then stay. A list
+    given as ``turns`` receives the pieces, tasks and sequences of every turn.
     """
     spark, folder = pieces.sparkSession, scratch_folder(pieces.sparkSession, "packing")
-    schema = T.StructType(
-        [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
-    )
+    placed = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+    marks = [T.StructField("_opens", T.BooleanType()), T.StructField("_back", T.BooleanType())]
+    schema = T.StructType([*pieces.schema.fields, *placed, *marks])
     hands = T.StructType([*pieces.schema.fields, T.StructField("_hand", T.IntegerType())])
-    seen = Observation()
+    opens, back = F.col("_opens").cast("long"), F.col("_back").cast("long")
+    seen, turns = Observation(), [] if turns is None else turns
     left = written(pieces, f"{folder}/pieces", seen, F.count(F.lit(1)).alias("rows"))
-    tasks, turn, done = max(1, -(-seen.get["rows"] // PIECES_PER_TASK)), 0, []
+    rows, before, turn, done, last = seen.get["rows"], None, 0, [], None
     while True:
-        # Bounded: with fewer than 16 tasks what they give back fits one task.
+        tasks = max(1, -(-rows // PIECES_PER_TASK))
         if tasks > 1:
             dealt = left.mapInArrow(_deal(tasks, pieces.columns), hands).repartition(tasks, "_hand")
         else:
             dealt = left.withColumn("_hand", F.lit(0)).coalesce(1)
-        task = _pack_task(limit, turn, tasks == 1, pieces.columns)
-        packed = written(dealt.mapInArrow(task, schema), f"{folder}/turn_{turn}")
-        done.append(packed.where(F.col("sequence_id").isNotNull()))
-        if tasks == 1:
+        seen = Observation()
+        packed = written(
+            dealt.mapInArrow(_pack_task(limit, turn, pieces.columns), schema), f"{folder}/turn_{turn}", seen,
+            F.coalesce(F.sum(opens), F.lit(0)).alias("used"), F.coalesce(F.sum(back), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(opens * back), F.lit(0)).alias("returned"),
+        )
+        found = seen.get
+        turns.append({"rows": rows, "tasks": tasks, "sequences": found["used"]})
+        if before is not None and found["used"] >= before:
+            done.append(last)  # this turn saved nothing
+            break
+        if last is not None:
+            done.append(last.where("not _back"))
+        if tasks == 1 or not found["rows"]:
+            done.append(packed)
             break
-        left = packed.where(F.col("sequence_id").isNull()).select(*pieces.columns)
-        tasks, turn = tasks // _FEWER or 1, turn + 1
+        left, last = packed.where("_back").select(*pieces.columns), packed
+        rows, before, turn = found["rows"], found["returned"], turn + 1
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out
+    return out.select(*pieces.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, limit: int = 1024, **options) -> DataFrame:

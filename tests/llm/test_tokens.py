@@ -167,6 +167,20 @@ def test_packing_in_turns_reaches_the_bound(spark, monkeypatch):
     assert check_places(rows, 100) <= lower_bound(np.array(lengths), 100) * 1.01 + 1
 
 
+@pytest.mark.parametrize("shortest, longest", [(300, 500), (250, 600), (200, 450), (1, 1024)])
+def test_no_task_packs_more_than_its_share(spark, monkeypatch, shortest, longest):
+    """Mixes that best fit packs badly go back in large part, but never to one task."""
+    monkeypatch.setattr("tagmill.llm.packing.PIECES_PER_TASK", 1_000)
+    lengths, turns = np.random.default_rng(6).integers(shortest, longest + 1, 20_000), []
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(lengths.tolist())], "name long, length long")
+    rows = pack_pieces(pieces, 1024, turns).collect()
+    assert sorted(r.name for r in rows) == list(range(20_000))
+    assert all(t["rows"] <= 1_000 * t["tasks"] for t in turns) and turns[0]["tasks"] == 20
+    used = check_places(rows, 1024)
+    whole = int(best_fit_decreasing(np.sort(lengths)[::-1], 1024).max()) + 1
+    assert used <= whole * 1.003 + 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 30), min_size=1, max_size=9))
 def test_lower_bound_never_exceeds_the_best_packing(lengths):
