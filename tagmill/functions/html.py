@@ -1,23 +1,23 @@
-"""HTML to a flat node table per page, and node selection as column expressions.
+"""Pages read once: rules are matched while the page is read, and only what they take leaves Python.
 
-``read_page`` reads a page once into an array of nodes in document order, with an index of ids and
-classes. A node lists its children, and its descendants are the slice that follows it, so a selector
-looks up its first node, touches only what lies below, and needs neither Python nor a shuffle.
+A rule names steps to some elements and what to keep of them. ``page_reader`` carries, for every open element, the
+steps that its children or all elements below it may take next, so one walk answers all rules and attributes are read
+only where a step asks for them. ``read_page`` gives the whole page as a node table, for what rules do not say.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..schemas import PAGE
-from .text import _col
 
 # Elements without content, elements closed by the next one of the same kind within
 # the containers named beside them, and elements that end an open paragraph.
@@ -50,71 +50,96 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/"']++)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+)))?""")
 
 
-class _Page:
-    """Collects the nodes of a page in document order; unclosed and stray tags are tolerated."""
+class _Walk:
+    """Open elements of a page, the outermost first; unclosed and stray tags are tolerated."""
 
-    def __init__(self):
-        self.nodes: list[dict] = []
-        self.open: list[dict] = []
-        self.counts: list[dict] = [{}]
-        self.places: dict[str, dict[str, list[int]]] = {"id": {}, "class": {}}
+    def __init__(self, root):
+        self.open = [root]
 
     def begin(self, tag: str, attributes: str) -> None:
         if tag in _ENDS_PARAGRAPH:
             self.end("p", _PARAGRAPH_LIMITS)
         if tag in _CLOSED_BY_SIBLING:
             self.end(tag, _CLOSED_BY_SIBLING[tag])
-        at, attrs = len(self.nodes), {}
-        for name, double, single, bare in _ATTRIBUTE.findall(attributes):
-            attrs.setdefault(name.lower(), unescape(double or single or bare))
-        nth = self.counts[-1][tag] = self.counts[-1].get(tag, 0) + 1
-        node = dict(
-            idx=at, last=at, kids=[], tag=tag, nth=nth, attrs=list(attrs.items()), text=[]
-        )
-        self.nodes.append(node)
-        for name, index in self.places.items():
-            if name in attrs:
-                index.setdefault(attrs[name], []).append(at)
-        if self.open:
-            self.open[-1]["kids"].append(at)
+        element = self.opened(tag, attributes)
         if tag not in _EMPTY:
-            self.open.append(node)
-            self.counts.append({})
+            self.open.append(element)
 
     def end(self, tag: str, limits=()) -> None:
         """Close the nearest open ``tag`` and all inside it, looking no further than ``limits``."""
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth]["tag"] == tag:
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag == tag:
                 return self.close(depth)
-            if self.open[depth]["tag"] in limits:
+            if self.open[depth].tag in limits:
                 return None
 
-    def close(self, depth: int = 0) -> None:
+    def close(self, depth: int = 1) -> None:
+        del self.open[depth:]
+
+    def read(self, html: str | None):
+        html, at = html or "", 0
+        while found := _MARKUP.search(html, at):
+            self.said(html[at : found.start()])
+            at, tag = found.end(), (found["tag"] or "").lower()
+            if found["end"]:
+                self.end(tag)
+            elif tag:
+                self.begin(tag, found["attrs"])
+                if tag in _RAW_TEXT:
+                    stop = _RAW_TEXT[tag].search(html, at)
+                    until = stop.start() if stop else len(html)
+                    self.said(html[at:until], raw=True)
+                    at = until
+        self.said(html[at:])
+        self.close()
+        return self
+
+
+def _attributes(text: str) -> dict[str, str]:
+    attrs: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        attrs.setdefault(name.lower(), unescape(double or single or bare))
+    return attrs
+
+
+@dataclass
+class _Node:
+    tag: str | None
+    row: dict = field(default_factory=lambda: {"kids": [], "text": []})
+    counts: dict = field(default_factory=dict)
+
+
+class _Nodes(_Walk):
+    """Collects the nodes of a page in document order, with an index of ids and classes."""
+
+    def __init__(self):
+        super().__init__(_Node(None))
+        self.nodes: list[dict] = []
+        self.places: dict[str, dict[str, list[int]]] = {"id": {}, "class": {}}
+
+    def opened(self, tag: str, attributes: str) -> _Node:
+        at, attrs, above = len(self.nodes), _attributes(attributes), self.open[-1]
+        nth = above.counts[tag] = above.counts.get(tag, 0) + 1
+        row = dict(idx=at, last=at, kids=[], tag=tag, nth=nth, attrs=list(attrs.items()), text=[])
+        self.nodes.append(row)
+        above.row["kids"].append(at)
+        for name, index in self.places.items():
+            if name in attrs:
+                index.setdefault(attrs[name], []).append(at)
+        return _Node(tag, row)
+
+    def close(self, depth: int = 1) -> None:
         for node in self.open[depth:]:
-            node["last"] = len(self.nodes) - 1
-        del self.open[depth:], self.counts[depth + 1 :]
+            node.row["last"] = len(self.nodes) - 1
+        super().close(depth)
 
-    def say(self, text: str) -> None:
-        if text and self.open:
-            self.open[-1]["text"].append(text)
+    def said(self, text: str, raw: bool = False) -> None:
+        if text and len(self.open) > 1:
+            self.open[-1].row["text"].append(text if raw else unescape(text))
 
 
 def _read(html: str | None) -> dict:
-    page, html, at = _Page(), html or "", 0
-    while found := _MARKUP.search(html, at):
-        page.say(unescape(html[at : found.start()]))
-        at, tag = found.end(), (found["tag"] or "").lower()
-        if found["end"]:
-            page.end(tag)
-        elif tag:
-            page.begin(tag, found["attrs"])
-            if tag in _RAW_TEXT:
-                stop = _RAW_TEXT[tag].search(html, at)
-                until = stop.start() if stop else len(html)
-                page.say(html[at:until])
-                at = until
-    page.say(unescape(html[at:]))
-    page.close()
+    page = _Nodes().read(html)
     return {"nodes": page.nodes, "ids": page.places["id"], "classes": page.places["class"]}
 
 
@@ -137,15 +162,13 @@ class Step:
     deep: bool = False
     attrs: dict = field(default_factory=dict)
 
-    def accepts(self, node: Column) -> Column:
-        test = F.lit(True)
-        if self.tag is not None:
-            test = test & (node["tag"] == self.tag)
-        if self.nth is not None:
-            test = test & (node["nth"] == self.nth)
+    def accepts(self, element: _Element) -> bool:
+        if self.tag is not None and self.tag != element.tag or self.nth is not None and self.nth != element.nth:
+            return False
         for name, value in self.attrs.items():
-            test = test & F.coalesce(node["attrs"][name] == value, F.lit(False))
-        return test
+            if element.attr(name) != value:
+                return False
+        return True
 
 
 def child(tag: str | None = None, nth: int | None = None, **attrs) -> Step:
@@ -156,70 +179,139 @@ def deep(tag: str | None = None, nth: int | None = None, **attrs) -> Step:
     return Step(tag, nth, True, {k.rstrip("_"): v for k, v in attrs.items()})
 
 
-def below(page: Column, node: Column) -> Column:
-    """All descendants of ``node``."""
-    return F.slice(page["nodes"], node["idx"] + 2, node["last"] - node["idx"])
-
-
-def _nodes_at(page: Column, places: Column) -> Column:
-    return F.transform(places, lambda at: F.get(page["nodes"], at))
-
-
-def _anywhere(page: Column, step: Step) -> Column:
-    """Nodes of the whole page that a step accepts, by index where the step names an id or class."""
-    for name, index in (("id", "ids"), ("class", "classes")):
-        if name in step.attrs:
-            places = F.try_element_at(page[index], F.lit(step.attrs[name]))
-            none = F.array().cast("array<int>")
-            return F.filter(_nodes_at(page, F.coalesce(places, none)), step.accepts)
-    return F.filter(page["nodes"], step.accepts)
-
-
-def pick(page, *steps: Step, start: Column | None = None) -> Column:
-    """Nodes reached by ``steps`` from the document, or from the node ``start``."""
-    page = _col(page)
-
-    def from_node(origin: Column, step: Step) -> Column:
-        if step.deep:
-            return F.filter(below(page, origin), step.accepts)
-        return F.filter(_nodes_at(page, origin["kids"]), step.accepts)
-
-    def from_each(found: Column, step: Step) -> Column:
-        return F.flatten(F.transform(found, lambda n: from_node(n, step)))
-
-    first, *rest = steps
-    if start is not None:
-        found = from_node(start, first)
-    elif first.deep:
-        found = _anywhere(page, first)
-    else:
-        found = F.filter(F.slice(page["nodes"], 1, 1), first.accepts)
-    for step in rest:
-        found = from_each(found, step)
-    return found
-
-
-def first_of(found: Column) -> Column:
-    return F.get(found, F.lit(0))
-
-
-def node_text(node: Column) -> Column:
-    """The first text directly inside a node."""
-    return F.get(node["text"], F.lit(0))
-
-
-def first_text(found: Column) -> Column:
-    """The first text directly inside any of the nodes."""
-    return F.get(F.flatten(F.transform(found, lambda n: n["text"])), F.lit(0))
-
-
-def texts(found: Column) -> Column:
-    return F.flatten(F.transform(found, lambda n: n["text"]))
-
-
-def attr(node: Column, name: str) -> Column:
-    return F.try_element_at(node["attrs"], F.lit(name))
-
-
-def attrs(found: Column, name: str) -> Column:
-    return F.filter(F.transform(found, lambda n: attr(n, name)), lambda v: v.isNotNull())
+@dataclass(frozen=True)
+class Rule:
+    """What to take of the elements that ``steps`` reach, in document order, each element once.
+
+    ``text`` (the first text directly inside any of them), ``texts``, ``count``, ``any``, ``@name`` (attribute of the
+    first), ``@@name`` (that attribute of all that have it), or ``each``: one struct per element, filled by the rules in
+    ``each``, which start from the element; a rule without steps takes from the element itself. ``default`` stands for null.
+    """
+
+    steps: tuple[Step, ...]
+    take: str = "text"
+    default: object = None
+    each: dict = field(default_factory=dict)
+
+    @property
+    def type(self) -> T.DataType:
+        if self.take == "each":
+            return T.ArrayType(rules_type(self.each))
+        if self.take == "texts" or self.take.startswith("@@"):
+            return T.ArrayType(T.StringType())
+        return {"count": T.IntegerType(), "any": T.BooleanType()}.get(self.take, T.StringType())
+
+
+def rule(*steps: Step, take: str = "text", default=None, **each: Rule) -> Rule:
+    return Rule(steps, "each" if each else take, default, each)
+
+
+def rules_type(rules: Mapping[str, Rule]) -> T.StructType:
+    return T.StructType([T.StructField(name, r.type) for name, r in rules.items()])
+
+
+class _Taken:
+    """What a rule has met below its start so far."""
+
+    __slots__ = ("rule", "met")
+
+    def __init__(self, given: Rule):
+        self.rule, self.met = given, []
+
+    def meet(self, element: _Element) -> None:
+        take = self.rule.take
+        if take in ("text", "texts"):
+            if element.texts is None:
+                element.texts = []
+            self.met.append(element.texts)
+        elif take == "each":
+            self.met.append(element.start(self.rule.each))
+        else:
+            self.met.append(element.attr(take.lstrip("@")) if take[0] == "@" else None)
+
+    def value(self):
+        take, met = self.rule.take, self.met
+        if take == "each":
+            return [values_of(taken) for taken in met]
+        if take == "texts":
+            return [text for texts in met for text in texts]
+        if take == "count":
+            return len(met)
+        if take == "any":
+            return bool(met)
+        if take[:2] == "@@":
+            return [value for value in met if value is not None]
+        first = next((texts[0] for texts in met if texts), None) if take == "text" else next(iter(met), None)
+        return self.rule.default if first is None else first
+
+
+def values_of(taken: dict[str, _Taken]) -> dict:
+    return {name: t.value() for name, t in taken.items()}
+
+
+class _Element:
+    """An open element: the steps its children (``direct``) and all elements below it (``lasting``) may take next."""
+
+    __slots__ = ("tag", "nth", "text_of_attrs", "attrs", "counts", "direct", "lasting", "texts")
+
+    def __init__(self, tag: str | None, nth: int, attributes: str, lasting: list):
+        self.tag, self.nth, self.text_of_attrs, self.lasting = tag, nth, attributes, lasting
+        self.attrs = self.texts = None
+        self.counts: dict[str, int] = {}
+        self.direct: list = []
+
+    def attr(self, name: str) -> str | None:
+        if self.attrs is None:
+            self.attrs = _attributes(self.text_of_attrs) if self.text_of_attrs else {}
+        return self.attrs.get(name)
+
+    def start(self, rules: Mapping[str, Rule]) -> dict[str, _Taken]:
+        taken = {name: _Taken(r) for name, r in rules.items()}
+        for t in taken.values():
+            self.follow(t, 0)
+        return taken
+
+    def follow(self, taken: _Taken, at: int) -> None:
+        """The first ``at`` steps of a rule lead here."""
+        if at == len(taken.rule.steps):
+            taken.meet(self)
+        elif not taken.rule.steps[at].deep:
+            self.direct.append((taken, at))
+        elif (taken, at) not in self.lasting:
+            self.lasting = [*self.lasting, (taken, at)]  # lists are shared with the elements above
+
+
+class _Matcher(_Walk):
+    def __init__(self, rules: Mapping[str, Rule]):
+        super().__init__(_Element(None, 1, "", []))
+        self.taken = self.open[0].start(rules)
+
+    def opened(self, tag: str, attributes: str) -> _Element:
+        above = self.open[-1]
+        nth = above.counts[tag] = above.counts.get(tag, 0) + 1
+        element = _Element(tag, nth, attributes, above.lasting)
+        for steps in (above.direct, above.lasting):
+            for taken, at in steps:
+                if taken.rule.steps[at].accepts(element):
+                    element.follow(taken, at + 1)
+        if len(self.open) == 1:
+            above.direct = []  # a path from the document begins at its first element
+        return element
+
+    def said(self, text: str, raw: bool = False) -> None:
+        texts = self.open[-1].texts
+        if text and texts is not None:
+            texts.append(text if raw else unescape(text))
+
+
+def page_reader(rules: Mapping[str, Rule]):
+    """An Arrow function from pages to a struct with one field per rule; null and malformed pages give nulls and empty
+    lists. As ``read_page`` it is not repeated by filters on its result."""
+    rules, shape = dict(rules), rules_type(rules)
+
+    @F.arrow_udf(shape)
+    def read(pages: pa.Array) -> pa.Array:
+        found = [values_of(_Matcher(rules).read(html).taken) for html in pages.to_pylist()]
+        return pa.array(found, to_arrow_type(shape))
+
+    return read.asNondeterministic()

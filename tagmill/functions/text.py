@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_folder, written
+
 # Fixed value: every character that is neither letter, digit nor underscore is dropped.
 NON_WORD = r"[^\p{L}\p{N}_]"
 
@@ -82,24 +84,34 @@ def _phrase_converter(mapping: dict[str, str]):
     return converted
 
 
+def phrases_named(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stretches of each ``_text`` that begin like a ``_phrase`` of ``rows`` and are as long as one that begins so."""
+    begins = rows.groupBy(F.substr("_phrase", F.lit(1), F.lit(2)).alias("_begin")).agg(
+        F.collect_set(F.length("_phrase")).alias("_sizes")
+    )
+    places = texts.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_text"))))
+    pair = F.substr("_text", "_at", F.lit(2))
+    # Phrases of one character begin with it alone; at the last place both beginnings are the same.
+    places = places.withColumn("_begin", F.explode(F.array_distinct(F.array(F.left(pair, F.lit(1)), pair))))
+    named = places.join(begins, "_begin").withColumn("_size", F.explode("_sizes"))
+    named = named.where(F.col("_at") + F.col("_size") <= F.length("_text") + 1)
+    return named.select("_text", "_at", "_size", F.substr("_text", "_at", "_size").alias("_phrase"))
+
+
 def convert_by_table(
     df: DataFrame, col: str, table: DataFrame, source: str = "source", target: str = "target"
 ) -> DataFrame:
     """``map_chars`` for a conversion table of any size, held in a DataFrame: replaces ``col`` in ``df``.
 
-    Each distinct text names the phrases it holds, up to the longest of the table, and meets the table by
-    phrase; at every place the longest one counts, from left to right. Null stays null. Of several rows for one
-    phrase the smallest target counts.
+    Each distinct text names its places; only places whose first one or two characters begin a phrase go on, and from
+    there only the lengths that occur behind that beginning are cut out and meet the table by phrase. So a long phrase adds
+    one row at places that begin like it and none elsewhere. At every place the longest phrase counts, from left to
+    right. Null stays null. Of several rows for one phrase the smallest target counts.
     """
     rows = table.where(F.length(source) > 0).groupBy(F.col(source).alias("_phrase")).agg(F.min(target).alias("_target"))
-    longest = rows.agg(F.max(F.length("_phrase"))).first()[0] or 0
+    rows = written(rows, f"{scratch_folder(df.sparkSession, 'phrases')}/rows")
     texts = df.select(F.col(col).alias("_text")).where(F.length(col) > 0).distinct()
-    sizes = F.sequence(F.lit(1), F.greatest(F.least(F.lit(longest), F.length("_text") - F.col("_at") + 1), F.lit(1)))
-    named = (
-        texts.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_text"))))
-        .withColumn("_size", F.explode(sizes))
-        .withColumn("_phrase", F.substr("_text", "_at", "_size"))
-    )
+    named = phrases_named(texts, rows)
     hits = named.join(rows, "_phrase").groupBy("_text", "_at").agg(
         F.max(F.struct("_size", "_target")).alias("_best")
     )

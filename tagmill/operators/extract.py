@@ -1,32 +1,19 @@
 """Landed catalogue pages to tables.
 
-A page is read once into a node table (``functions.html``); what to take from it is data: a rule
-names the steps to some nodes and what to keep of them. Everything after that is column expressions,
-so a page never leaves its partition.
+What to take from a page is data: rules, all matched in one walk over the page (``functions.html``). Everything after
+that is column expressions on what they took, so a page never leaves its partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_site_date
-from ..functions.html import (
-    Step,
-    attr,
-    attrs,
-    child,
-    deep,
-    first_of,
-    first_text,
-    pick,
-    read_page,
-    texts,
-)
+from ..functions.html import Rule, child, deep, page_reader, rule
 from ..functions.text import (
     bind,
     blank_to_null,
@@ -50,36 +37,6 @@ LIST_TYPES = ("anime", "game", "book", "music", "real")
 LIST_PAGE_SIZE = 24
 
 
-@dataclass(frozen=True)
-class Rule:
-    """What to take: ``text`` (first), ``texts``, ``nodes``, ``count``, ``any``, ``@name`` (first
-    attribute) or ``@@name`` (all attributes) of the nodes that ``steps`` reach."""
-
-    steps: tuple[Step, ...]
-    take: str = "text"
-    default: object = None
-
-    def value(self, page, start: Column | None = None) -> Column:
-        found = pick(page, *self.steps, start=start)
-        if self.take.startswith("@@"):
-            taken = attrs(found, self.take[2:])
-        elif self.take.startswith("@"):
-            taken = attr(first_of(found), self.take[1:])
-        else:
-            taken = {
-                "text": first_text,
-                "texts": texts,
-                "nodes": lambda x: x,
-                "count": F.size,
-                "any": lambda x: F.size(x) > 0,
-            }[self.take](found)
-        return taken if self.default is None else F.coalesce(taken, F.lit(self.default))
-
-
-def rule(*steps: Step, take: str = "text", default=None) -> Rule:
-    return Rule(steps, take, default)
-
-
 def html_pages(df: DataFrame) -> DataFrame:
     """A table of landed pages; ``redirect_from`` is null where the landing did not record it."""
     if "redirect_from" in df.columns:
@@ -89,10 +46,8 @@ def html_pages(df: DataFrame) -> DataFrame:
 
 def extract_pages(pages: DataFrame, rules: Mapping[str, Rule]) -> DataFrame:
     """Add one column per rule to a table of pages; malformed pages give nulls and empty lists."""
-    parsed = pages.withColumn("_page", read_page(F.col("html")))
-    return parsed.select(
-        *pages.columns, *[r.value("_page").alias(name) for name, r in rules.items()]
-    )
+    parsed = pages.withColumn("_page", page_reader(rules)(F.col("html")))
+    return parsed.select(*pages.columns, *[F.col(f"_page.`{name}`") for name in rules])
 
 
 # ------------------------------------------------------------- fixed values: where things stand
@@ -134,12 +89,15 @@ INDEX_RULES = {
     ),
 }
 _INFO = (child("div"), child("p", class_="collectInfo"))
-RECORD_ITEMS = (deep(id="browserItemList"), child("li"))
 RECORD_RULES = {
-    "dated": rule(*_INFO, child("span", class_="tip_j")),
-    "tagged": rule(*_INFO, child("span", class_="tip")),
-    "stars": rule(*_INFO, child("span", class_="starstop-s"), child("span"), take="@class"),
-    "comment": rule(deep("div", class_="text")),
+    "entries": rule(
+        deep(id="browserItemList"), child("li"),
+        item=rule(take="@id"),
+        dated=rule(*_INFO, child("span", class_="tip_j")),
+        tagged=rule(*_INFO, child("span", class_="tip")),
+        stars=rule(*_INFO, child("span", class_="starstop-s"), child("span"), take="@class"),
+        comment=rule(deep("div", class_="text")),
+    ),
 }
 LIST_RULES = {
     "states": rule(
@@ -157,9 +115,14 @@ SUBJECT_RULES = {
     "title": rule(deep(id="headerSubject"), child("h1"), child("a"), take="@title"),
     "shown": rule(deep(id="headerSubject"), child("h1"), child("a")),
     "scored": rule(deep("div", class_="global_score"), child("div"), child("small", 1)),
-    "facts": rule(deep("div", class_="infobox"), deep("li"), take="nodes"),
+    "facts": rule(
+        deep("div", class_="infobox"), deep("li"),
+        label=rule(child("span")), links=rule(child("a"), take="@@href"), said=rule(),
+    ),
     "related": rule(
-        deep("ul", class_="browserCoverMedium clearit"), child("li"), take="nodes"
+        deep("ul", class_="browserCoverMedium clearit"), child("li"),
+        kind=rule(take="@class"), label=rule(child("span")),
+        href=rule(child("a", class_="title"), take="@href"),
     ),
     "volumes": rule(
         deep("ul", class_="browserCoverSmall clearit"), child("li"), child("a"), take="@@href"
@@ -224,23 +187,14 @@ def page_records(pages: DataFrame) -> DataFrame:
 
     ``pages`` may carry ``uid``; without it the user part of the address is taken.
     """
-    parsed = pages.withColumn("_page", read_page(F.col("html")))
-
-    def entry(item: Column) -> Column:
-        given = {name: r.value("_page", item) for name, r in RECORD_RULES.items()}
-        return F.struct(
-            number_in(attr(item, "id"), r"^item_(\d+)").alias("iid"),
-            *[value.alias(name) for name, value in given.items()],
-        )
-
-    entries = F.transform(pick("_page", *RECORD_ITEMS), entry)
     owner = F.col("uid") if "uid" in pages.columns else url_segment("url", 2)
-    rows = parsed.select(
+    rows = extract_pages(pages, RECORD_RULES).select(
         owner.alias("uid"),
         url_segment("url", 4).alias("typ"),
         url_segment("url", 1, strip_query=True).alias("state"),
-        F.explode(entries).alias("_entry"),
+        F.explode("entries").alias("_entry"),
     ).select("uid", "typ", "state", "_entry.*")
+    rows = rows.withColumn("iid", number_in("item", r"^item_(\d+)"))
     tags = slice_tokens("tagged")
     return rows.select(
         "uid",
@@ -290,27 +244,25 @@ def page_friends(pages: DataFrame) -> DataFrame:
     ).select("user", url_segment("_href").alias("friend"))
 
 
-def _staff(facts: Column, page) -> Column:
-    """Linked ids per label; the label is the first text of the fact's ``span`` less two signs."""
+def _label(fact: Column) -> Column:
+    """The first text of a fact's ``span`` less two signs."""
+    return F.substring(fact["label"], F.lit(1), F.greatest(F.length(fact["label"]) - 2, F.lit(0)))
+
+
+def _staff(facts: Column) -> Column:
+    """Linked ids per label."""
 
     def fact(li):
-        label = rule(child("span")).value(page, li)
-        links = rule(child("a"), take="@@href").value(page, li)
-        key = F.substring(label, F.lit(1), F.greatest(F.length(label) - 2, F.lit(0)))
-        return F.struct(key.alias("key"), F.transform(links, lambda h: url_segment(h)).alias("value"))
+        ids = F.transform(li["links"], lambda h: url_segment(h))
+        return F.struct(_label(li).alias("key"), ids.alias("value"))
 
     return F.filter(
         F.transform(facts, fact), lambda p: p["key"].isNotNull() & (F.size(p["value"]) > 0)
     )
 
 
-def _aliases(facts: Column, page) -> Column:
-    def fact(li):
-        label = rule(child("span")).value(page, li)
-        key = F.substring(label, F.lit(1), F.greatest(F.length(label) - 2, F.lit(0)))
-        return F.when(key == ALIAS_LABEL, F.get(li["text"], F.lit(0)))
-
-    return F.array_compact(F.transform(facts, fact))
+def _aliases(facts: Column) -> Column:
+    return F.array_compact(F.transform(facts, lambda li: F.when(_label(li) == ALIAS_LABEL, li["said"])))
 
 
 def fill_labels(items: Column) -> Column:
@@ -352,17 +304,11 @@ def forward_fill(
 
 def page_subjects(pages: DataFrame) -> DataFrame:
     """``subjectid, subjecttype, subjectname, order, alias, staff, relations``."""
-    parsed = pages.withColumn("_page", read_page(F.col("html")))
-    found = parsed.select(
-        *pages.columns,
-        "_page",
-        *[r.value("_page").alias(name) for name, r in SUBJECT_RULES.items()],
-    ).where("has_subject")
+    found = extract_pages(pages, SUBJECT_RULES).where("has_subject")
 
     def relation(li):
-        href = rule(child("a", class_="title"), take="@href").value("_page", li)
-        label = F.when(attr(li, "class").isNotNull(), rule(child("span")).value("_page", li))
-        return F.struct(label.alias("label"), url_segment(href).alias("id"))
+        label = F.when(li["kind"].isNotNull(), li["label"])
+        return F.struct(label.alias("label"), url_segment(li["href"]).alias("id"))
 
     pair_type = "array<struct<key: string, value: array<string>>>"
     none = F.array().cast(pair_type)
@@ -381,8 +327,8 @@ def page_subjects(pages: DataFrame) -> DataFrame:
         second_token_lower("scored").alias("subjecttype"),
         F.coalesce(blank_to_null("title"), F.col("shown")).alias("subjectname"),
         F.coalesce(_asked_id(), url_id("url")).alias("order"),
-        _aliases(F.col("facts"), "_page").alias("alias"),
-        _staff(F.col("facts"), "_page").alias("_staff"),
+        _aliases(F.col("facts")).alias("alias"),
+        _staff(F.col("facts")).alias("_staff"),
         F.concat(F.coalesce(related, none), F.coalesce(volumes, none)).alias("_relations"),
     )
     return collected.select(

@@ -1,7 +1,8 @@
 import datetime as dt
 import json
+import random
 
-from tagmill.functions.html import _read, child, deep
+from tagmill.functions.html import _Matcher, _read, child, deep, values_of
 from tagmill.operators.api import api_collections, api_subjects, api_users, collection_pages
 from tagmill.operators.extract import (
     extract_pages,
@@ -58,6 +59,78 @@ def test_rules(spark):
     assert [row[name] for name in rules] == ["one", "x", ["one", "two", "three"], 2, "none"]
 
 
+def test_rules_per_element(spark):
+    html = (
+        '<ul id="l"><li id="a">one<b>x</b><ul><li id="c"><b>z</b></ul><li><i>no</i></ul><ul id="l"><li id="d"><b t="1">'
+    )
+    rules = {
+        "items": rule(deep(id="l"), deep("li"), key=rule(take="@id"), bold=rule(deep("b")), own=rule(), n=rule(child("b"), take="count")),
+        "inner": rule(deep("ul"), child("li"), each_b=rule(deep("b"), mark=rule(take="@t", default="-"))),
+    }
+    row = extract_pages(pages(spark, ("/x", None, html), ("/y", None, None)), rules).orderBy("url").collect()
+    # Reached by way of both lists, an inner element is still taken once, in its place.
+    assert [tuple(i) for i in row[0]["items"]] == [
+        ("a", "x", "one", 1), ("c", "z", None, 1), (None, None, None, 0), ("d", None, None, 1),
+    ]
+    assert [[tuple(b) for b in i["each_b"]] for i in row[0]["inner"]] == [[("-",), ("-",)], [("-",)], [], [("1",)]]
+    assert row[1]["items"] == [] and row[1]["inner"] == []
+
+
+def _plainly(page, rules):
+    """Rules without ``each`` looked up in the node table, step by step."""
+    nodes = page["nodes"]
+
+    def fits(step, node):
+        attrs = dict(node["attrs"])
+        return (
+            step.tag in (None, node["tag"]) and step.nth in (None, node["nth"])
+            and all(attrs.get(k) == v for k, v in step.attrs.items())
+        )
+
+    def reached(steps):
+        first, *rest = steps
+        found = {n["idx"] for n in (nodes if first.deep else nodes[:1]) if fits(first, n)}
+        for step in rest:
+            below = {
+                k for at in found
+                for k in (range(at + 1, nodes[at]["last"] + 1) if step.deep else nodes[at]["kids"])
+            }
+            found = {k for k in below if fits(step, nodes[k])}
+        return [nodes[k] for k in sorted(found)]
+
+    out = {}
+    for name, r in rules.items():
+        found = reached(r.steps)
+        said = [t for n in found for t in n["text"]]
+        marks = [dict(n["attrs"]).get("class") for n in found]
+        out[name] = {
+            "text": next(iter(said), None), "texts": said, "count": len(found), "any": bool(found),
+            "@class": next(iter(marks), None), "@@class": [m for m in marks if m is not None],
+        }[r.take]
+    return out
+
+
+def test_matching_equals_the_node_table():
+    draw = random.Random(5)
+    tags, marks = ["div", "p", "ul", "li", "b", "br"], ["", ' class="x"', " class=y id=q", ' class="x&amp;"']
+    takes = ["text", "texts", "count", "any", "@class", "@@class"]
+    for _ in range(400):
+        html = "".join(
+            draw.choice([f"<{draw.choice(tags)}{draw.choice(marks)}>", f"</{draw.choice(tags)}>", draw.choice("ab &lt;")])
+            for _ in range(draw.randrange(40))
+        )
+        rules = {}
+        for k in range(6):
+            steps = [
+                draw.choice([child, deep])(
+                    draw.choice([None, *tags]), draw.choice([None, None, 1, 2]), **draw.choice([{}, {}, {"class_": "x"}])
+                )
+                for _ in range(draw.randrange(1, 4))
+            ]
+            rules[f"r{k}"] = rule(*steps, take=draw.choice(takes))
+        assert values_of(_Matcher(rules).read(html).taken) == _plainly(_read(html), rules), (html, rules)
+
+
 PROFILE = (
     "<html><body><div><div></div><div>{head}</div><div><div><div><h1><div></div><div><a>N\x01</a>"
     "<small>@7</small></div></h1></div></div></div><div><div><div><div><div><ul><li><span></span>"

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from tagmill.functions.text import (
     convert_by_table,
     map_chars,
     normalize_tag,
+    phrases_named,
     slice_tokens,
     strip_controls,
     strip_nul,
@@ -55,6 +57,22 @@ def test_conversion_by_table_equals_conversion_by_dict(spark):
     assert convert_by_table(df, "t", table.where("source = 'none'")).count() == len(texts)
 
 
+def test_long_phrases_multiply_no_text(spark):
+    rng = random.Random(3)
+    letters = "abcd"
+    phrases = {"".join(rng.choices(letters, k=rng.randrange(1, 5))): f"<{i}>" for i in range(20)}
+    phrases["q" * 1_000] = "Q"
+    texts = ["".join(rng.choices(letters + "eq", k=rng.randrange(60))) for _ in range(50)] + ["a" + "q" * 1_001 + "b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    table = spark.createDataFrame(list(phrases.items()), "source string, target string")
+    got = [r.t for r in convert_by_table(df, "t", table).orderBy("i").collect()]
+    assert got == values(spark, texts, lambda c: map_chars(c, phrases)) and "Qq" in got[-1]
+    rows = table.withColumnsRenamed({"source": "_phrase", "target": "_target"})
+    short = rows.where("length(_phrase) < 1000")
+    named = df.select(F.col("t").alias("_text")).where("length(t) < 100").distinct()
+    assert phrases_named(named, rows).count() == phrases_named(named, short).count()
+
+
 @pytest.mark.parametrize(
     "text, site, document",
     [
