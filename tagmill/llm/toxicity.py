@@ -13,6 +13,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .encoders import grouped
+
 # The training sample: so many labelled texts of each class at most, none longer than this. Documented bounds;
 # everything that is scored is scored whole.
 SAMPLE_PER_CLASS = 2_500
@@ -31,6 +34,7 @@ BODY_BYTES, SPAN_BYTES = 24_000, 4_000
 _SPAN_Z, _SPAN_TEXTS = 6.0, 3
 _ORDINARY_QUANTILE = 0.999
 _FOLDS = 4
+GROUP_CHARS = 2_000_000  # texts whose windows are kept at once; results do not depend on it
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 # Every window begins with what both dictionaries end with: that match pays for the block's headers, so a single short
 # word shows in the length instead of leaving the block raw.
@@ -107,14 +111,18 @@ class ToxicityModel:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_engines"}
 
-    def lengths(self, text: str) -> np.ndarray:
-        """Of every window the length under the ordinary dictionary and how much less it is under the toxic one."""
+    def lengths(self, texts) -> Iterator[np.ndarray]:
+        """Of every window of each text the length under the ordinary dictionary and how much less it is under the
+        toxic one. Windows that a group of texts repeats are compressed once."""
         if "_engines" not in self.__dict__:
             self._engines = _engine(self.ordinary), _engine(self.toxic)
         ordinary, toxic = (e.compress for e in self._engines)
-        both = [(len(ordinary(w)), len(toxic(w))) for w in (_PRIME + b" " + w for w in windows(text))]
-        found = np.array(both, np.int32)
-        return np.c_[found[:, 0], found[:, 0] - found[:, 1]]
+        for group in grouped(texts, GROUP_CHARS):
+            number: dict[bytes, int] = {}
+            places = [np.array([number.setdefault(w, len(number)) for w in windows(t)]) for t in group]
+            found = np.array([(len(ordinary(w)), len(toxic(w))) for w in (_PRIME + b" " + w for w in number)], np.int32)
+            found[:, 1] = found[:, 0] - found[:, 1]
+            yield from (found[at] for at in places)
 
     def distances(self, lengths: np.ndarray) -> np.ndarray:
         return lengths[:, 1] - (self.expected[0] + self.expected[1] * lengths[:, 0])
@@ -129,7 +137,7 @@ class ToxicityModel:
     def scores(self, texts) -> np.ndarray:
         if not self.toxic:
             return np.full(len(texts), self.constant)
-        x = np.array([self.features(self.distances(self.lengths(t or ""))) for t in texts]).reshape(len(texts), -1)
+        x = np.array([self.features(self.distances(n)) for n in self.lengths(texts)]).reshape(len(texts), -1)
         x = np.c_[np.ones(len(x)), (x - self.mean) / self.scale]
         return 1 / (1 + np.exp(-np.clip(x @ self.weights, -50, 50)))
 
@@ -190,7 +198,7 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> ToxicityModel:
     for fold in range(_FOLDS):
         part = ToxicityModel(toxic=content(0, fold), ordinary=content(1, fold))
         unseen = toxic[fold::_FOLDS] + ordinary[fold::_FOLDS]
-        lengths += [part.lengths(text) for text in unseen]
+        lengths += part.lengths(unseen)
         y += [1] * len(toxic[fold::_FOLDS]) + [0] * len(ordinary[fold::_FOLDS])
     y = np.array(y)
     model = ToxicityModel(toxic=content(0, None), ordinary=content(1, None))

@@ -1,9 +1,11 @@
 """Held-out accuracy of the toxicity score, and preference pairs by hand."""
 
+import math
 import random
 
 import duckdb
 import numpy as np
+import zstandard
 from helpers import DOCUMENTS, awkward
 from pyspark.sql import functions as F
 
@@ -64,6 +66,63 @@ def test_few_short_marks_in_long_texts():
     assert (model.scores([text(0) for _ in range(200)]) >= 0.5).mean() < 0.05
 
 
+def plain_windows(text):
+    """Four words at every second word with the white space between them; long ones at every half window."""
+    data = text.lower().encode()
+    words, at = [], 0
+    for word in data.split():
+        at = data.index(word, at)
+        words.append((at, at + len(word)))
+        at += len(word)
+    out = []
+    for i in range(0, max(1, len(words) - 2) if words else 0, 2):
+        group = words[i : i + 4]
+        end = words[i + 4][0] if i + 4 < len(words) else len(data)
+        window = data[group[0][0] : end]
+        if len(window) <= WINDOW:
+            out.append(window)
+        else:
+            out += [window[a : a + WINDOW] for a in range(0, len(window) - WINDOW // 2, WINDOW // 2)]
+    return out or [b""]
+
+
+def plain_score(model, text):
+    """One window after the other, each by a compressor of its own; all features and the logistic sum in plain Python."""
+    prime = bytes([*range(1, 9), *range(14, 32)]) + b" "
+    distances = []
+    for window in plain_windows(text):
+        sizes = []
+        for content in (model.ordinary, model.toxic):
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            kind = zstandard.ZstdCompressionParameters.from_level(9, write_content_size=0, write_checksum=0, write_dict_id=0)
+            known.precompute_compress(compression_params=kind)
+            sizes.append(len(zstandard.ZstdCompressor(dict_data=known, compression_params=kind).compress(prime + window)))
+        distances.append(sizes[0] - sizes[1] - model.expected[0] - model.expected[1] * sizes[0])
+    n, top = len(distances), sorted(distances, reverse=True)
+    over = [d - model.bar for d in top if d > model.bar]
+    means = [sum(top[:k]) / min(k, n) for k in (n, 1, 3, 8)]
+    given = [*means, math.log(1 + len(over)), len(over) / n, math.log(1 + n), math.log(1 + sum(over))]
+    total = model.weights[0]
+    for value, mean, scale, weight in zip(given, model.mean, model.scale, model.weights[1:]):
+        total += (value - mean) / scale * weight
+    return 1 / (1 + math.exp(-max(-50.0, min(50.0, total))))
+
+
+def test_scores_equal_the_plain_version(spark):
+    docs, labels = corpus(spark, 240)
+    model = fit_toxicity(docs, labels)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(8).collect()]
+    texts += [texts[0], "", "one", "A  B\tc\n", "x" * 500, "\u00c4b " * 9 + "zograt mufkrel", " \n lead"]
+    assert [windows(t) for t in texts] == [plain_windows(t) for t in texts]
+    expected = [plain_score(model, t) for t in texts]
+    assert np.allclose(model.scores([*texts, None]), [*expected, plain_score(model, "")], rtol=1e-9, atol=1e-12)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scored = with_toxicity(rows, labels.limit(0)).collect()  # nothing to learn from: one score for all
+    assert {r.score for r in scored} == {0.0}
+    found = rows.select("doc_id", toxicity_score("text", model).alias("score")).orderBy("doc_id").collect()
+    assert np.allclose([r.score for r in found], expected, rtol=1e-9, atol=1e-12)
+
+
 def test_labels_of_held_out_rows_teach_nothing(spark):
     docs, labels = corpus(spark)
     turned = labels.withColumn("toxic", F.when(is_held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
