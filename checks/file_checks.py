@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.schemas import DOUBLE, INT, LONG, TEXT, struct
 from tagmill.operators.snapshots import removed_keys
-from tagmill.session import scratch_folder
+from tagmill.session import counted, scratch_folder
 from tagmill.sources.readers import (
     latest_snapshot,
     list_files,
@@ -203,6 +205,22 @@ def dated_snapshots(spark, sf):
     return gone.select(F.col("o_orderkey").alias("id"))
 
 
+COUNTED = ("lineitem", "orders", "part", "events", "pages")
+
+
+@check(" UNION ALL ".join(f"SELECT '{name}' AS dataset, count(*) AS rows, count(*) AS lines FROM {name}" for name in COUNTED))
+def counted_datasets(spark, sf):
+    """Rows observed while datasets are written, in the same job, beside the lines that their files hold."""
+    folder, found = scratch_folder(spark, "files"), []
+    for name in COUNTED:
+        observed, seen = counted(table(spark, sf, name), name)
+        write_jsonlines(observed, f"{folder}/{name}", AS_OF)
+        lines = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/{name}")
+        counts = lines.agg(F.count(F.lit(1)).alias("lines"))
+        found.append(counts.select(F.lit(name).alias("dataset"), F.lit(seen.get["rows"]).cast("long").alias("rows"), "lines"))
+    return reduce(DataFrame.unionByName, found)
+
+
 SCANNED = struct(l_partkey=LONG, l_linenumber=INT, l_quantity=DOUBLE)
 
 
