@@ -245,3 +245,49 @@ def test_items_left_out(spark):
     df = spark.createDataFrame([(1, i, 1) for i in range(5)], "user_order long, subject_id long, rate int")
     assert co_rating_pairs(df).count() == 10
     assert co_rating_pairs(df, max_item_exclusive=3).count() == 3
+
+
+def sent_rows(spark, make):
+    """Rows that the exchanges of a query write."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = make()
+        df.collect()
+        plans, sent = [df._jdf.queryExecution().executedPlan()], 0
+        while plans:
+            plan = plans.pop()
+            if plan.nodeName() == "Exchange":
+                sent += plan.metrics().apply("shuffleRecordsWritten").value()
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return sent
+
+
+def alike(found, expected):
+    assert set(found) == set(expected)
+    for key, means in expected.items():
+        assert found[key] == pytest.approx(means)
+
+
+def test_pairs_are_made_behind_the_exchange(spark):
+    """Rows and lists move, not sums per pair: here 7,600 pairs that one user each has."""
+    rows = [(u, 20 * u + i, i % 10 + 1) for u in range(40) for i in range(20)]
+    df = spark.createDataFrame(rows, "user_order long, subject_id long, rate int")
+    found = []
+    assert sent_rows(spark, lambda: found.append(compare_items(df)) or found[0]) < 4_000
+    alike({(r["item1"], r["item2"]): list(r)[2:] for r in found[0].collect()}, brute_pairs(rows))
+
+
+def test_an_item_of_most_rows(spark):
+    """The pairs of an item that all users rated are dealt over slots."""
+    rows = [(u, i, (u + i) % 10 + 1) for u in range(60) for i in (0, u + 1, u + 2)]
+    df = spark.createDataFrame(rows, "user_order long, subject_id long, rate int")
+    found = {(r["item1"], r["item2"]): list(r)[2:] for r in compare_items(df).collect()}
+    alike(found, brute_pairs(rows))
+
+
+def test_small_blocks_send_rows_once(spark):
+    df = spark.createDataFrame([(1, i, i) for i in range(100)], "user_order long, subject_id long, rate int")
+    assert sent_rows(spark, lambda: co_rating_pairs(df, block=5)) < 500
+    assert co_rating_pairs(df, block=5).distinct().count() == 4_950
