@@ -164,7 +164,7 @@ HOMES_SQL = (
 
 @check(HOMES_SQL, "page_home_users")
 def page_home_users_query(spark, sf):
-    users = page_home_users(home_pages(spark, sf), blocked=("7", "8"))
+    users = page_home_users(landed(home_pages(spark, sf)), blocked=("7", "8"))
     return users.select(
         "uid", "name", "nickname", F.date_format("joindate", "yyyy-MM-dd").alias("joined")
     )
@@ -178,7 +178,7 @@ def page_home_users_query(spark, sf):
     "home_links",
 )
 def home_links_query(spark, sf):
-    return home_links(page_home_users(home_pages(spark, sf), blocked=("7", "8")))
+    return home_links(page_home_users(landed(home_pages(spark, sf)), blocked=("7", "8")))
 
 
 # ----------------------------------------------------------------------------------- lists, friends

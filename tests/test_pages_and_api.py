@@ -310,3 +310,10 @@ def test_api_answers(spark):
     )
     assert {(r["id"], r["order"]) for r in found.collect()} == {(1, 77), (2, 2)}
     assert not {"summary", "images", "locked"} & set(found.columns)
+
+
+def test_home_pages_are_read_by_many_tasks(spark):
+    """Customers lie in one small file; the pages made from them are dealt evenly before they are read."""
+    from checks.page_checks import home_links_query
+
+    assert home_links_query(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
