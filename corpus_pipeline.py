@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tagmill.llm.packing import pack_documents
 from tagmill.llm.queries import BYTE_VOCABULARY
+from tagmill.llm.simhash import drop_near_duplicates
 from tagmill.llm.similar import drop_similar
 from tagmill.llm.suffixes import drop_repeats
 from tagmill.llm.toxicity import fit_toxicity, toxicity_score
@@ -24,8 +25,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 of its shingles of five words or more: the one with the smallest id."""
-    return drop_similar(docs)
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Fingerprints at 4 or fewer differing bits link, as in ``op6_simhash``. What then is left is compared exactly: texts that
+    share 0.8 of their shingles of five words or more differ in more bits than an index of fingerprints finds.
+    """
+    folder = scratch_folder(spark, "copies")
+    return drop_similar(written(drop_near_duplicates(docs), f"{folder}/simhash"))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

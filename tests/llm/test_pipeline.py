@@ -6,6 +6,7 @@ from helpers import awkward
 from test_duplicates import plain_repeats
 
 import corpus_pipeline
+from tagmill.llm.simhash import shingle_hashes, text_fingerprint
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +43,13 @@ def test_stages_take_awkward_rows(spark):
         out.collect()
         if name != "packing":
             assert out.columns == docs.columns
+
+
+def test_fingerprint_links_without_shared_shingles(spark):
+    """What only the fingerprints link: most shingles are repeats of one, the other shingles differ."""
+    rows = [(1, "a " * 100 + "p q r s t u"), (2, "a " * 100 + "f g h i j k"), (3, "quite another text it is")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints, sets = [text_fingerprint(t) for _, t in rows], [set(shingle_hashes(t, 5)) for _, t in rows]
+    assert (prints[0] ^ prints[1]).bit_count() <= 4
+    assert len(sets[0] & sets[1]) < 0.8 * len(sets[0] | sets[1])
+    assert {r.doc_id for r in corpus_pipeline.drop_copies(spark, docs, SF).collect()} == {1, 3}
