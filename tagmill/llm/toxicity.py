@@ -36,6 +36,7 @@ _ORDINARY_QUANTILE = 0.999
 _FOLDS = 4
 GROUP_CHARS = 2_000_000  # texts whose windows are kept at once; results do not depend on it
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
+_STEP = re.compile(rb"\S++\s*+" + rb"(?:\S++\s*+)?" * (WINDOW_WORDS // 2 - 1))  # the words between two windows' starts
 # Every window begins with what both dictionaries end with: that match pays for the block's headers, so a single short
 # word shows in the length instead of leaving the block raw.
 _PRIME = bytes(range(1, 9)) + bytes(range(14, 32))
@@ -50,11 +51,8 @@ def stretches(text: str) -> list[bytes]:
 def windows(text: str) -> list[bytes]:
     """Windows of ``WINDOW_WORDS`` whole words at every second word of the lower-cased text. Those with over ``WINDOW``
     bytes are cut into pieces that overlap by half. A text without words is one empty window."""
-    data, step = text.lower().encode(), WINDOW_WORDS // 2
-    starts = [m.start() for m in re.finditer(rb"\S+", data)]
-    ends, out = [*starts[1:], len(data)], []
-    for i in range(0, max(1, len(starts) - step) if starts else 0, step):
-        window = data[starts[i] : ends[min(i + WINDOW_WORDS, len(starts)) - 1]]
+    steps, out = _STEP.findall(text.lower().encode()), []
+    for window in map(bytes.__add__, steps, steps[1:]) if len(steps) > 1 else steps:
         if len(window) <= WINDOW:
             out.append(window)
         else:
