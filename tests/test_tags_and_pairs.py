@@ -136,6 +136,36 @@ def test_rounds_carry_numbers_only(spark, monkeypatch):
     assert rounds and all("string" not in schema.simpleString() and "name#" not in plan for schema, plan in rounds)
 
 
+def test_rounds_join_no_edges_and_cut_large_hubs(spark, monkeypatch):
+    """A round moves one number per user and block: no join of edges, nor a sum per edge, is left in it."""
+    from tagmill.operators import tags
+
+    plans, bundled = [], []
+
+    def spy(df, path, *rest):
+        plans.append((path.rsplit("/", 1)[1], df._jdf.queryExecution().toString()))
+        return written(df, path, *rest)
+
+    class Kept(tags._Bundles):
+        def __init__(self, *given):
+            super().__init__(*given)
+            bundled.append((self.blocks.count(), len(self.cut)))
+
+    monkeypatch.setattr(tags, "written", spy)
+    monkeypatch.setattr(tags, "_Bundles", Kept)
+    edges = random_edges(hot=300)
+    df = spark.createDataFrame(edges + [("w", None, None, 2), ("u1", None, None, 1)], "u string, s long, t string, n long")
+    found = {(r["s"], r["t"]): r["tagnorm_cnt"] for r in tag_confidence(df, "u", "s", "t", tol=1e-9).collect()}
+    expected = defaultdict(int, {(None, None): 3})
+    for _, s, t, n in edges:
+        expected[s, t] += n
+    assert found == expected
+    rounds = [plan for name, plan in plans if name.startswith("scores-")]
+    assert rounds and not any("Join" in plan or "HashAggregate" in plan for plan in rounds)
+    blocks, cuts = bundled[0]
+    assert cuts > 1 and blocks < 30 < len(edges)
+
+
 def test_numbers_are_dense(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") % 301).alias("a"), F.lit(None).cast("string").alias("b"))
     found, size = numbered(df, ["a", "b"], "number", f"{tmp_path}/n")
