@@ -317,3 +317,25 @@ def test_home_pages_are_read_by_many_tasks(spark):
     from checks.page_checks import home_links_query
 
     assert home_links_query(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
+
+
+def test_elements_that_no_rule_leads_to_are_not_kept(monkeypatch):
+    """They share one; behind the last place where a rule can begin, a page is not walked at all."""
+    from tagmill.functions import html as reader
+    from tagmill.operators.extract import LIST_RULES
+
+    made = []
+
+    class Counted(reader._Element):
+        def __init__(self, *given):
+            made.append(1)
+            super().__init__(*given)
+
+    monkeypatch.setattr(reader, "_Element", Counted)
+    tabs = '<ul class="navSubTabs"><li><a href="/x"><span>1</span></a></li><li><a class="focus" href="/y"><span>2</span></a></ul>'
+    many = '<div><p class="a">b<li><i id="c">d</i></div>' * 500
+    found = values_of(reader._Matcher(LIST_RULES).read(f"<body>{many}{tabs}{many}").taken)
+    assert found == {"states": ["/x", "/y"], "focus": "2"} and len(made) < 100
+    # A value may be written with escapes, and a stray end tag closes what stands around it.
+    found = values_of(reader._Matcher(LIST_RULES).read('<ul><ul class="nav&#83;ubTabs"><li></ul></ul><li><a href="/z">').taken)
+    assert found == {"states": [], "focus": None}
