@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -321,3 +322,71 @@ def test_small_blocks_send_rows_once(spark):
     df = spark.createDataFrame([(1, i, i) for i in range(100)], "user_order long, subject_id long, rate int")
     assert sent_rows(spark, lambda: co_rating_pairs(df, block=5)) < 500
     assert co_rating_pairs(df, block=5).distinct().count() == 4_950
+
+
+def sent_bytes(spark, make):
+    """Bytes that the exchanges of a query write."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = make()
+        df.collect()
+        plans, sent = [df._jdf.queryExecution().executedPlan()], 0
+        while plans:
+            plan = plans.pop()
+            if plan.nodeName() == "Exchange":
+                sent += plan.metrics().apply("shuffleBytesWritten").value()
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return sent
+
+
+def test_pairs_cost_no_disk(spark):
+    """A row moves to a few cells, not to every row that it meets: here 897,000 pairs, for which 806,344 bytes were sent before."""
+    chance = random.Random(9)
+    rows = [(u, chance.randrange(10**6), chance.randint(1, 10)) for u in range(20) for i in range(300)]
+    df = spark.createDataFrame(rows, "user_order long, subject_id long, rate int")
+    assert sent_bytes(spark, lambda: compare_items(df).groupBy().count()) < 400_000
+
+
+@pytest.mark.parametrize("block", [None, 20])
+def test_pairs_of_named_items_and_users(spark, block):
+    """Items and users of any name, rates of any size; names meet in their order."""
+    chance = random.Random(4)
+    rows = [(f"u{chance.randrange(9)}", f"i{chance.randrange(40)}", chance.choice([0.1, 2.5, -3.0, 1e9])) for _ in range(200)]
+    df = spark.createDataFrame(rows + [(None, "i1", 1.0), ("u1", None, 1.0), ("u1", "i1", None)], "u string, i string, r double")
+    found = {(r["item1"], r["item2"]): list(r)[2:] for r in compare_items(df, "u", "i", "r", block=block).collect()}
+    alike(found, brute_pairs(rows))
+
+
+def test_an_item_with_more_pairs_than_a_run(spark, monkeypatch):
+    """Runs are of whole items; one that is too large is added up in parts."""
+    from tagmill.operators import meetings
+
+    chance = random.Random(6)
+    rows = [(u, i, chance.randint(1, 10)) for u in range(12) for i in {0, 1, *chance.sample(range(30), 9)}] * 2
+    batch = pa.RecordBatch.from_pydict({
+        "block": pa.array([i % 2 for _, i, _ in rows], pa.int32()), "met": [3] * len(rows), "user": [u for u, _, _ in rows],
+        "item": [i for _, i, _ in rows], "rate": [float(r) for _, _, r in rows],
+        "upto": [sum(v == u and x <= r for v, _, x in rows) for u, _, r in rows],
+        "of": [sum(v == u for v, _, _ in rows) for u, _, _ in rows], "n": [1] * len(rows),
+    })
+    monkeypatch.setattr(meetings, "PAIRS_AT_ONCE", 30)
+    bundles = list(meetings.bundled(2, meetings.even_keys(3))([batch]))
+    found = pa.Table.from_batches(meetings.pairs_of_cells(pa.int64())(bundles)).to_pylist()
+    alike({(r["item1"], r["item2"]): list(r.values())[2:] for r in found}, brute_pairs(rows))
+
+
+def test_packed_integers():
+    from tagmill.operators.meetings import packed, unpacked
+
+    for values in ([], [5], [-(2**63), 2**63 - 1, 0], [3, 3, 3], [1 << 40, 7, -9]):
+        assert unpacked(packed(np.array(values, np.int64)), len(values)).tolist() == values
+    assert len(packed(np.full(1_000, 8))) < 10
+
+
+def test_even_keys_fill_all_partitions(spark):
+    from tagmill.operators.meetings import even_keys
+
+    df = spark.createDataFrame([(k,) for k in even_keys(28)], "k int").repartition(28, "k")
+    assert df.select(F.spark_partition_id()).distinct().count() == 28
